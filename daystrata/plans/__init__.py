@@ -1 +1 @@
-
+"""Stages composed from the operators."""

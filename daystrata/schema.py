@@ -6,16 +6,16 @@ from pyspark.sql import types as T
 
 # Column names and types of the daily-log file, in file order.
 DAILY_LOG_FIELDS = {
-    "user_id": "int",
-    "age": "int",
+    "user_id": "integer",
+    "age": "integer",
     "gender": "string",
     "date": "string",
-    "steps": "int",
+    "steps": "integer",
     "heart_rate_avg": "double",
     "sleep_hours": "double",
     "calories_burned": "double",
     "exercise_minutes": "double",
-    "stress_level": "int",
+    "stress_level": "integer",
     "weight_kg": "double",
     "bmi": "double",
 }
