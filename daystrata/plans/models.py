@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from daystrata.functions.scalar import change_label
 from daystrata.operators.clean import drop_missing, fill_zero
-from daystrata.operators.evaluate import date_split, hash_split
+from daystrata.operators.evaluate import classification_metrics, date_split, hash_split, regression_metrics
 
 LOGGER = logging.getLogger(__name__)
 
@@ -156,40 +157,43 @@ def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | No
 
 
 def train_models(
-    rows: DataFrame, targets: Sequence[Target] = TARGETS, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK
+    rows: DataFrame,
+    targets: Sequence[Target] = TARGETS,
+    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    parallelism: int = 3,
 ) -> Trained:
     """Fit all targets on the "train" rows of a model frame with targets and ``split``, and measure on the rest.
 
-    The indexed frame is kept for the many passes of the forests; lost blocks are recomputed from its source.
+    The indexed frame is kept for the many passes of the forests; lost blocks are recomputed from its source. Up to
+    ``parallelism`` models train at a time: their jobs fill the gaps that the driver work between levels leaves.
     """
-    train = rows.filter(F.col("split") == "train")
-    trained = Trained(_shared_indexers().fit(train))
+    trained = Trained(_shared_indexers().fit(rows.filter(F.col("split") == "train")))
     indexed = trained.shared.transform(rows).persist(storage)
+
+    def fit(target: Target) -> None:
+        frame, labels = indexed, None
+        if target.classes:
+            indexer = StringIndexer(inputCol=target.label, outputCol=target.index, handleInvalid="skip")
+            label_model = indexer.fit(indexed)
+            labels = label_model.labels
+            frame = label_model.transform(indexed)
+        model = _stages(target, labels).fit(frame.filter(F.col("split") == "train"))
+        trained.models[target.name] = model
+        trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
+        LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
+
     try:
-        for target in targets:
-            frame, labels = indexed, None
-            if target.classes:
-                label_model = StringIndexer(
-                    inputCol=target.label, outputCol=target.index, handleInvalid="skip"
-                ).fit(indexed)
-                labels = label_model.labels
-                frame = label_model.transform(indexed)
-            model = _stages(target, labels).fit(frame.filter(F.col("split") == "train"))
-            trained.models[target.name] = model
-            trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
-            LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
+        with ThreadPool(max(1, min(parallelism, len(targets)))) as pool:
+            pool.map(inheritable_thread_target(rows.sparkSession)(fit), targets)
     finally:
         indexed.unpersist()
     return trained
 
 
-def _measure(scored: DataFrame, target: Target) -> dict[str, float]:
-    kind = MulticlassClassificationEvaluator if target.classes else RegressionEvaluator
-    names = ("accuracy", "f1") if target.classes else ("rmse", "mae")
-    if scored.isEmpty():
-        return {name: float("nan") for name in names}
-    evaluator = kind(labelCol=target.index, predictionCol=target.raw)
-    return {name: evaluator.evaluate(scored, {evaluator.metricName: name}) for name in names}
+def _measure(scored: DataFrame, target: Target) -> dict[str, float | None]:
+    """Accuracy and F1, or RMSE and MAE, from one scoring pass; None without test rows."""
+    metrics = classification_metrics if target.classes else regression_metrics
+    return metrics(scored, target.index, target.raw).first().asDict()
 
 
 def score(rows: DataFrame, trained: Trained, targets: Sequence[Target] = TARGETS, with_split: bool = False) -> DataFrame:
