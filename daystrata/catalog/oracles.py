@@ -225,6 +225,14 @@ SILVER_SHOWN = (
 )
 
 
+MERGED = """
+ select user_id, date_key, stress_level, sleep_quality, weight_change_30d from
+ (select user_id, date_key, stress_level from fact_daily where stress_level >= 4)
+ full join (select user_id, date_key, sleep_quality from fact_daily where sleep_hours >= 8) using (user_id, date_key)
+ full join (select user_id, date_key, weight_change_30d from fact_daily where weight_change_30d is not null)
+ using (user_id, date_key)"""
+
+
 def all_oracles() -> dict[str, str]:
     keys = ", ".join(COLUMNS)
     filled = ", ".join(f"coalesce({c}, 0) as {c}" for c in ZERO_FILLED)
@@ -341,14 +349,8 @@ def all_oracles() -> dict[str, str]:
             f"select user_id, date_key, case when date_key < {FIRST_TEST_KEY} then 'train' else 'test' end as split"
             " from fact_daily",
         ),
-        "merge_outer": over(
-            "fact_daily",
-            "select user_id, date_key, stress_level, sleep_quality, weight_change_30d from"
-            " (select user_id, date_key, stress_level from fact_daily where stress_level >= 4)"
-            " full join (select user_id, date_key, sleep_quality from fact_daily where sleep_hours >= 8) using (user_id, date_key)"
-            " full join (select user_id, date_key, weight_change_30d from fact_daily where weight_change_30d is not null)"
-            " using (user_id, date_key)",
-        ),
+        "merge_outer": over("fact_daily", MERGED),
+        "merge_outer_split": over("fact_daily", MERGED),
         "classification_accuracy": over("fact_daily", _classification()),
         "regression_error": over(
             "fact_daily",

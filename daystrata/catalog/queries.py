@@ -86,14 +86,14 @@ def _no_change_as_prediction(df: DataFrame) -> DataFrame:
     return _rounded(evaluate.regression_metrics(rows, "weight_change_30d", "predicted"), ["rmse", "mae"], 4)
 
 
-def _merge(df: DataFrame) -> DataFrame:
+def _merge(df: DataFrame, keys: Sequence[str] = ("user_id", "date_key"), group_rows: int | None = None) -> DataFrame:
     """Three partial projections of the fact, put together again by key."""
-    keys = ["user_id", "date_key"]
     return star.merge_outer(
         df.filter(F.col("stress_level") >= 4).select(*keys, "stress_level"),
         df.filter(F.col("sleep_hours") >= 8).select(*keys, "sleep_quality"),
         df.filter(F.col("weight_change_30d").isNotNull()).select(*keys, "weight_change_30d"),
         on=keys,
+        group_rows=group_rows,
     )
 
 
@@ -222,6 +222,7 @@ def all_queries() -> dict[str, Query]:
         "hash_split": _on(fact_frame, lambda df: evaluate.hash_split(df.select("user_id", "date_key"))),
         "date_split": _on(fact_frame, lambda df: evaluate.date_split(df.select("user_id", "date_key"), FIRST_TEST_KEY)),
         "merge_outer": _on(fact_frame, _merge),
+        "merge_outer_split": _on(fact_frame, lambda df: _merge(df, group_rows=0)),
         "classification_accuracy": _on(fact_frame, _yesterday_as_prediction),
         "regression_error": _on(fact_frame, _no_change_as_prediction),
         "predictions": _on(fact_frame, models.train_and_score),

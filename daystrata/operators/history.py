@@ -104,13 +104,15 @@ def history(
     distinct: bool = False,
     exclude: Sequence[str] = (),
     group_rows: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``features`` (output name -> feature) to ``df``.
 
     Rows that agree on ``order`` come in arbitrary order, or with ``stable`` in the order of a hash of the whole
     row. ``distinct`` also removes duplicate rows, ignoring ``exclude``, in the same shuffle (and is stable).
     ``group_rows`` is the number of rows from which a key is split (default: GROUP_ROWS, looked for only in inputs
-    larger than one task).
+    larger than one task). ``sized_by`` is a frame to count the keys in instead of ``df``, such as the table that
+    ``df`` was filtered from: its scan reads the key columns only, and more rows per key do no harm.
     """
     if frame not in ("rows", "days"):
         raise ValueError(f"frame must be 'rows' or 'days', not {frame!r}")
@@ -119,7 +121,7 @@ def history(
     plain = _plain_days if frame == "days" else _plain_rows
     split = _split_days if frame == "days" else _split_rows
 
-    large = large_groups(df, keys, group_rows)
+    large = large_groups(df if sized_by is None else sized_by, keys, group_rows)
     if large is None:
         return plain(df, features, keys, order, stable, distinct, exclude)
     rest, big = split_by_keys(df, keys, large)

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from daystrata.functions.scalar import date_key, weekday_name
 from daystrata.operators.history import duplicate_keys
+from daystrata.operators.skew import large_groups, split_by_keys
+
+# Parts over which the rows of one large key are spread in a join.
+SPREAD = 64
 
 
 def rounded(cols: Sequence[str], digits: int = 2) -> list[Column]:
@@ -82,10 +86,17 @@ def build_fact_daily(df: DataFrame) -> DataFrame:
     )
 
 
-def merge_outer(*frames: DataFrame, on: Sequence[str] = ("user_id", "date_key"), check_unique: bool = False) -> DataFrame:
+def merge_outer(
+    *frames: DataFrame,
+    on: Sequence[str] = ("user_id", "date_key"),
+    check_unique: bool = False,
+    group_rows: int | None = None,
+) -> DataFrame:
     """Full outer join of all frames on ``on``; later joins reuse the partitioning of the first.
 
     A key that occurs n times in one frame and m times in another gives n * m rows; ``check_unique`` refuses that.
+    Keys with more than ``group_rows`` rows in a frame (default: GROUP_ROWS, looked for only in frames larger than
+    one task) are joined apart, spread over several tasks.
     """
     on = list(on)
     if check_unique:
@@ -93,11 +104,39 @@ def merge_outer(*frames: DataFrame, on: Sequence[str] = ("user_id", "date_key"),
             if not duplicate_keys(frame, on).isEmpty():
                 raise ValueError(f"keys {on} are not unique")
     merged, *rest = frames
+    large = large_groups(merged, on, group_rows)
     for frame in rest:
-        merged = merged.join(frame, on, "outer")
+        more = large_groups(frame, on, group_rows)
+        if large is not None and more is not None:
+            large = large.unionByName(more).distinct()
+        else:
+            large = more if large is None else large
+        merged = _outer(merged, frame, on, large)
     return merged
 
 
+def _outer(left: DataFrame, right: DataFrame, on: list[str], large: DataFrame | None) -> DataFrame:
+    if large is None:
+        return left.join(right, on, "outer")
+    left_rest, left_large = split_by_keys(left, on, large)
+    right_rest, right_large = split_by_keys(right, on, large)
+    joined = left_rest.join(right_rest, on, "outer")
+    return joined.unionByName(_spread_outer(left_large, right_large, on))
+
+
+def _spread_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Full outer join of a few large keys: matches with the left side spread over SPREAD salts and the right side
+    repeated for each, and the rows without a match found by comparing with the distinct keys of the other side."""
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    matches = salted.join(repeated, [*on, "_salt"]).drop("_salt")
+    # At most one row per large key.
+    left_only = left.join(F.broadcast(right.select(*on).distinct()), on, "left_anti")
+    right_only = right.join(F.broadcast(left.select(*on).distinct()), on, "left_anti")
+    result = matches.unionByName(left_only, allowMissingColumns=True)
+    return result.unionByName(right_only, allowMissingColumns=True)
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows in key order, as a top-k rather than a full sort."""
     return df.orderBy(*order).limit(n)

@@ -18,7 +18,7 @@ def run_bronze(
     spark: SparkSession,
     raw_path: str,
     output_path: str,
-    multiline: bool = True,
+    multiline: bool | None = None,
     ingest_ts: str | None = None,
 ) -> DataFrame:
     """CSV -> checked, stamped Parquet. Row and null counts are taken during the write, not by extra scans."""
