@@ -72,12 +72,17 @@ def parse_date(df: DataFrame, col: str = "date", fmt: str = ISO_DATE) -> DataFra
     return df.withColumn(col, parsed_date(col, fmt))
 
 
-def drop_null_keys(df: DataFrame, keys: Sequence[str] = ("user_id", "date")) -> DataFrame:
-    return df.na.drop(subset=list(keys))
+def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Drop rows with a null or NaN in any of ``cols``; plain predicates, which reach a Parquet scan."""
+    types = dict(df.dtypes)
+    for c in cols:
+        present = F.col(c).isNotNull()
+        df = df.filter(present & ~F.isnan(c) if types[c] in ("double", "float") else present)
+    return df
 
 
-def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.na.drop(subset=list(cols))
+def drop_null_keys(df: DataFrame, keys: Sequence[str] = ("user_id", "date")) -> DataFrame:
+    return drop_missing(df, keys)
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
