@@ -101,10 +101,10 @@ def test_history_against_brute_force(frame, group_rows, rows_or_days):
     close(result(h.history(frame(rows), SPEC, frame=rows_or_days, group_rows=group_rows)), expected)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_chunks_of_any_size(frame, seed):
     rows = sample(seed, users=(1, 2), size=200, gap=1)
-    for group_rows in (1, 2, 3, 5, 8):
+    for group_rows in (1, 3, 8):
         close(result(h.history(frame(rows), SPEC, group_rows=group_rows)), by_rows(rows))
 
 
