@@ -177,7 +177,8 @@ def train_models(
             label_model = indexer.fit(indexed)
             labels = label_model.labels
             frame = label_model.transform(indexed)
-        model = _stages(target, labels).fit(frame.filter(F.col("split") == "train"))
+        # The copy leaves out the training summary, which would drag its frame and session into every task.
+        model = _stages(target, labels).fit(frame.filter(F.col("split") == "train")).copy()
         trained.models[target.name] = model
         trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
         LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])

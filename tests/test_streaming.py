@@ -80,7 +80,7 @@ def test_refresh_reads_only_touched_buckets(spark, paths, tmp_path, write_csv_ro
 
 def test_wrong_header_stops_the_stream(spark, paths, tmp_path, write_csv_rows):
     write_csv_rows(tmp_path / "raw" / "a.csv", {}, header=list(reversed(DAILY_LOG_FIELDS)))
-    with pytest.raises(Exception, match="CSV header does not conform"):
+    with pytest.raises(Exception, match="STREAM_FAILED.*FAILED_READ_FILE"):
         incremental.ingest_new_files(spark, paths["raw"], paths["bronze"], paths["ingest"], BUCKETS)
 
 
