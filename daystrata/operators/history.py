@@ -26,6 +26,8 @@ HALO = "_halo"
 # A day of a split key is cut into up to 2**SLICE_BITS slices of its rows.
 SLICE_BITS = 12
 
+INTEGRAL = ("tinyint", "smallint", "int")
+
 
 @dataclass(frozen=True)
 class Previous:
@@ -38,7 +40,7 @@ class Previous:
     def reach(self) -> int:
         return self.n
 
-    def over_rows(self, window: WindowSpec) -> Column:
+    def over_rows(self, window: WindowSpec, integral: bool = False) -> Column:
         return F.lag(self.col, self.n).over(window)
 
     def over_days(self, window: WindowSpec) -> Column:
@@ -76,8 +78,17 @@ class TrailingMean(Previous):
     def reach(self) -> int:
         return self.n - 1
 
-    def over_rows(self, window: WindowSpec) -> Column:
-        return F.avg(self.col).over(window.rowsBetween(1 - self.n, 0))
+    def over_rows(self, window: WindowSpec, integral: bool = False) -> Column:
+        """A sliding frame adds up n rows for every row. For whole numbers, whose sums are exact, the difference of
+        two running totals gives the same value with two additions; for fractions it would lose digits."""
+        if not integral:
+            return F.avg(self.col).over(window.rowsBetween(1 - self.n, 0))
+        upto = window.rowsBetween(Window.unboundedPreceding, 0)
+        before = window.rowsBetween(Window.unboundedPreceding, -self.n)
+        value = F.col(self.col).cast("long")
+        total = F.coalesce(F.sum(value).over(upto), F.lit(0)) - F.coalesce(F.sum(value).over(before), F.lit(0))
+        rows = F.count(self.col).over(upto) - F.count(self.col).over(before)
+        return F.when(rows > 0, total.cast("double") / rows.cast("double"))
 
     def over_days(self, window: WindowSpec) -> Column:
         return F.avg(self.col).over(window.rangeBetween(1 - self.n, 0))
@@ -132,6 +143,13 @@ def history(
     return rest.unionByName(big)
 
 
+def _row_values(df: DataFrame, features: Features, window: WindowSpec) -> dict[str, Column]:
+    types = dict(df.dtypes)
+    return {
+        name: feature.over_rows(window, types[feature.col] in INTEGRAL) for name, feature in features.items()
+    }
+
+
 def _with_features(df: DataFrame, values: dict[str, Column], features: Features, keep: Sequence[str]) -> DataFrame:
     """Evaluate the window ``values`` together, then finish each feature from its window value."""
     windowed = df.select(*keep, *[value.alias(f"_w_{name}") for name, value in values.items()])
@@ -166,7 +184,7 @@ def _plain_rows(df, features, keys, order, stable, distinct, exclude):
     elif stable:
         df = df.withColumn(TIE, _row_hash(columns, exclude))
     window = Window.partitionBy(*keys).orderBy(*order, *([TIE] if distinct or stable else []))
-    values = {name: feature.over_rows(window) for name, feature in features.items()}
+    values = _row_values(df, features, window)
     return _with_features(df, values, features, columns)
 
 
@@ -208,8 +226,8 @@ def _split_rows(df, features, keys, order, exclude, group_rows):
     routes = own.unionByName(_halo(chunks, keys, cell, reach))
 
     window = Window.partitionBy(*keys, CHUNK).orderBy(*order, TIE)
-    values = {name: feature.over_rows(window) for name, feature in features.items()}
     routed = join_same(rows, routes, cell)
+    values = _row_values(routed, features, window)
     return _with_features(routed, values, features, [*columns, HALO]).filter(~F.col(HALO)).drop(HALO)
 
 
