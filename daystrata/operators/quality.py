@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,19 +154,25 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -
 
     With ``approx`` the median comes from a quantile sketch in the same pass; otherwise it is exact.
     """
-    totals = df.agg(*[agg for c in cols for agg in _moments(c)])
+    moments = [agg for c in cols for agg in _moments(c)]
+    names = ["column", "n", "mean", "median", "stddev", "min", "max"]
     if approx:
-        sketches = df.agg(
-            *[agg for c in cols for agg in _moments(c)],
-            *[F.percentile_approx(F.col(c).cast("double"), 0.5, SKETCH_ACCURACY).alias(f"median_{c}") for c in cols],
-        )
-        return _as_rows(sketches, [_moment_row(c, F.col(f"median_{c}")) for c in cols])
-    described = _as_rows(totals, [_moment_row(c, None) for c in cols])
-    medians = exact_medians(df, cols)
+        sketches = [
+            F.percentile_approx(F.col(c).cast("double"), 0.5, SKETCH_ACCURACY).alias(f"median_{c}") for c in cols
+        ]
+        return _as_rows(df.agg(*moments, *sketches), [{n: _figure(n, c) for n in names} for c in cols])
+    totals = df.agg(*moments).first()
+    names.remove("median")
+    figures = [tuple(c if n == "column" else totals[f"{n}_{c}"] for n in names) for c in cols]
+    schema = "column string, n long, mean double, stddev double, min double, max double"
+    described = df.sparkSession.createDataFrame(figures, schema)
     # One row per requested column.
-    return described.join(F.broadcast(medians), "column", "left").select(
-        "column", "n", "mean", "median", "stddev", "min", "max"
-    )
+    medians = F.broadcast(exact_medians(df, cols, totals=totals))
+    return described.join(medians, "column", "left").select("column", "n", "mean", "median", "stddev", "min", "max")
+
+
+def _figure(name: str, col: str) -> Column:
+    return F.lit(col) if name == "column" else F.col(f"{name}_{col}")
 
 
 def age_distribution(df: DataFrame, col: str = "age", approx: bool = False) -> DataFrame:
@@ -185,13 +191,6 @@ def _moments(c: str) -> list[Column]:
     ]
 
 
-def _moment_row(c: str, median: Column | None) -> dict[str, Column]:
-    row = {"column": F.lit(c), "n": F.col(f"n_{c}"), "mean": F.col(f"mean_{c}")}
-    if median is not None:
-        row["median"] = median
-    return row | {"stddev": F.col(f"stddev_{c}"), "min": F.col(f"min_{c}"), "max": F.col(f"max_{c}")}
-
-
 class _Bracket:
     """Interval known to hold the middle ranks of a column: ``below`` values lie under it, ``inside`` in it."""
 
@@ -203,22 +202,20 @@ class _Bracket:
         return below <= (self.n - 1) // 2 and self.n // 2 < below + inside
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], max_values: int = MEDIAN_VALUES) -> DataFrame:
+def exact_medians(
+    df: DataFrame, cols: Sequence[str], max_values: int = MEDIAN_VALUES, totals: Row | None = None
+) -> DataFrame:
     """(column, median), exact, without gathering a column in one task.
 
     A quantile sketch brackets the middle of each column. Exact counts below and inside the bracket confirm it,
     and sketches over the bracket narrow it until what it can hold is small enough to count by value and sort.
-    A bracket that a count does not confirm is not used. The driver sees a few numbers per column.
+    A bracket that a count does not confirm is not used. The driver sees a few numbers per column: ``totals``, the
+    counts and extremes of each column, which are looked up if not given, and the edges of the brackets.
     """
     value = {c: F.col(c).cast("double") for c in cols}
-    sizes = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in cols],
-        *[F.min(value[c]).alias(f"low_{c}") for c in cols],
-        *[F.max(value[c]).alias(f"high_{c}") for c in cols],
-    ).first()
-    brackets = {
-        c: _Bracket(sizes[f"n_{c}"], sizes[f"low_{c}"], sizes[f"high_{c}"]) for c in cols if sizes[f"n_{c}"]
-    }
+    if totals is None:
+        totals = df.agg(*[agg for c in cols for agg in _moments(c)]).first()
+    brackets = {c: _Bracket(totals[f"n_{c}"], totals[f"min_{c}"], totals[f"max_{c}"]) for c in cols if totals[f"n_{c}"]}
     open_cols = [c for c, b in brackets.items() if b.inside > max_values]
     while open_cols:
         open_cols = _narrow(df, value, brackets, open_cols, max_values)
