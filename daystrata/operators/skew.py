@@ -8,13 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A group beyond this many rows is worth splitting.
+# A group beyond this many rows may be worth splitting.
 GROUP_ROWS = 1_000_000
 
-# Most groups to split. Any group left out of the largest MAX_SPLIT holds less than 1/MAX_SPLIT of the rows, and
-# the list of split keys that is broadcast can never be longer than this.
+# A group is split if it also holds more than 1/MAX_SPLIT of all rows, so there can be no more of them than this and
+# the list of their keys can safely be broadcast.
 MAX_SPLIT = 20_000
 
+# Buckets in which keys are counted first.
+COUNT_BUCKETS = 65_536
+
 # Below this many estimated bytes the whole input fits one task, so no group in it needs splitting.
 ONE_TASK_BYTES = 256 * 1024 * 1024
 
@@ -30,20 +33,28 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int | None = None) -> DataFrame | None:
     """Keys of the groups above ``group_rows`` rows (at most MAX_SPLIT of them), or None if there are none.
 
-    One column-pruned count with map-side combine. With the default limit, inputs that fit one task are not
-    counted at all.
+    By default a group is large above GROUP_ROWS rows and 1/MAX_SPLIT of all rows, and inputs that fit one task are
+    not looked at. Rows are counted per bucket of keys, of which a task passes on a fixed number however many keys
+    it sees; only if a bucket is large are its keys counted one by one. The scans read the key columns only.
     """
     if group_rows is None:
         size = estimated_bytes(df)
         if size is not None and size < ONE_TASK_BYTES:
             return None
-        group_rows = GROUP_ROWS
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > group_rows)
-    found = counts.orderBy(F.desc("_rows")).limit(MAX_SPLIT).select(*keys).collect()
+    bucketed = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(COUNT_BUCKETS)).alias("_bucket"))
+    buckets = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    rows, largest = buckets.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(GROUP_ROWS, (rows or 0) // MAX_SPLIT) if group_rows is None else group_rows
+    if largest is None or largest <= limit:
+        return None
+    # At most COUNT_BUCKETS rows, and with the default limit at most MAX_SPLIT.
+    full = F.broadcast(buckets.filter(F.col("_rows") > limit).select("_bucket"))
+    counts = bucketed.join(full, "_bucket", "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.filter(F.col("_rows") > limit).orderBy(F.desc("_rows")).limit(MAX_SPLIT)
+    found = large.select(*keys).collect()
     if not found:
         return None
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame([tuple(row) for row in found], schema)
+    return df.sparkSession.createDataFrame([tuple(row) for row in found], df.select(*keys).schema)
 
 
 def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:

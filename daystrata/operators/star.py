@@ -45,12 +45,14 @@ def build_dim_date(df: DataFrame, sort: bool = True) -> DataFrame:
 def build_dim_activity(df: DataFrame, sort: bool = True) -> DataFrame:
     """Activity and sleep descriptors per user and day.
 
-    Sorting is a range shuffle that only shapes the file layout. All columns take part after (user_id, date), so
-    that a user, or even one day of a user, can spread over several ranges.
+    Sorting is a range shuffle that only shapes the file layout. The other columns and a hash of the measures left
+    out come after (user_id, date), so that a user, or even one day of a user, can spread over several ranges.
     """
     columns = ("user_id", "date", "steps", "exercise_minutes", "calories_burned", "activity_level", "sleep_quality")
-    activity = df.select(*columns)
-    return activity.orderBy(*columns) if sort else activity
+    measures = ("heart_rate_avg", "sleep_hours", "stress_level", "weight_kg", "bmi")
+    if sort:
+        df = df.orderBy(*columns, F.xxhash64(*[c for c in measures if c in df.columns], F.lit(0)))
+    return df.select(*columns)
 
 
 def build_fact_daily(df: DataFrame) -> DataFrame:

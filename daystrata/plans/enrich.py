@@ -64,7 +64,7 @@ def build_silver(
         distinct=True,
         exclude=exclude,
         group_rows=group_rows,
-        sized_by=df,
+        sized_by=df.filter(F.col("user_id").isNotNull()),
     )
     height = height_m("weight_kg", "bmi")
     rate = basal_rate("weight_kg", "height_cm", "age", "gender")

@@ -185,13 +185,30 @@ def test_wrappers(frame):
 
 def test_large_groups(frame, monkeypatch):
     df = frame([(1, day(i), 0.0) for i in range(5)] + [(2, day(i), 0.0) for i in range(3)] + [(3, day(0), 0.0)])
+    found = lambda *args: [r[0] for r in skew.large_groups(df, ["user_id"], *args).collect()]
     assert skew.large_groups(df, ["user_id"]) is None
     assert skew.large_groups(df, ["user_id"], 5) is None
-    assert [r[0] for r in skew.large_groups(df, ["user_id"], 3).collect()] == [1]
+    assert skew.large_groups(df.limit(0), ["user_id"], 0) is None
+    assert found(3) == [1] and sorted(found(0)) == [1, 2, 3]
+    monkeypatch.setattr(skew, "COUNT_BUCKETS", 1)
+    assert found(3) == [1]
+    assert skew.large_groups(df, ["user_id"], 5) is None
     monkeypatch.setattr(skew, "MAX_SPLIT", 1)
-    assert [r[0] for r in skew.large_groups(df, ["user_id"], 2).collect()] == [1]
+    assert found(2) == [1]
     monkeypatch.setattr(skew, "ONE_TASK_BYTES", 0)
+    assert skew.large_groups(df, ["user_id"]) is None
     monkeypatch.setattr(skew, "GROUP_ROWS", 4)
-    assert [r[0] for r in skew.large_groups(df, ["user_id"]).collect()] == [1]
+    assert skew.large_groups(df, ["user_id"]) is None  # no user holds more than all rows
+    monkeypatch.setattr(skew, "MAX_SPLIT", 2)
+    assert found() == [1]
     rest, big = skew.split_by_keys(df, ["user_id"], skew.large_groups(df, ["user_id"]))
     assert (rest.count(), big.count()) == (4, 5)
+
+
+def test_counting_reads_the_keys_only(spark, frame, tmp_path):
+    frame([(1, day(i), 0.0) for i in range(5)]).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    keys = df.select("user_id").groupBy(F.pmod(F.xxhash64("user_id"), F.lit(4))).count()
+    assert "ReadSchema: struct<user_id:int>" in keys._jdf.queryExecution().executedPlan().toString()
+    found = h.history(df.filter("v >= 0"), SPEC, group_rows=2, sized_by=df)
+    close(result(found), by_rows([tuple(r) for r in df.collect()]))
