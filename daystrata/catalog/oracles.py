@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from daystrata.catalog.queries import DESCRIBED, FIRST_TEST_KEY
-from daystrata.plans.models import MODEL_COLUMNS, REQUIRED, ZERO_FILLED
+from daystrata.plans.models import MODEL_COLUMNS, REQUIRED, STRESS_FEATURES, ZERO_FILLED
 from daystrata.schema import DAILY_LOG_FIELDS, NON_NEGATIVE, RANGE_RULES
 
 DAILY_LOG = """
@@ -225,6 +225,20 @@ SILVER_SHOWN = (
 )
 
 
+LABELED = f"select {STRESS.replace('stress_change_30d', 'coalesce(stress_change_30d, 0)')} as label from fact_daily"
+
+
+def _index(col: str, missing_last: bool = False) -> str:
+    """Rank of a category by falling frequency, ties by name; null comes after all others if kept."""
+    return f"""(select {col} as name, cast(row_number() over (order by {'name_missing, ' if missing_last else ''}n desc, {col}) - 1 as double)
+ as idx from (select {col}, {col} is null as name_missing, count(*) as n from fact_daily group by {col}))"""
+
+
+INDEXED = f"""
+ select f.*, g.idx as gender_idx, a.idx as activity_level_idx from fact_daily f
+ join {_index('gender', True)} g on g.name is not distinct from f.gender
+ join {_index('activity_level', True)} a on a.name is not distinct from f.activity_level"""
+
 MERGED = """
  select user_id, date_key, stress_level, sleep_quality, weight_change_30d from
  (select user_id, date_key, stress_level from fact_daily where stress_level >= 4)
@@ -238,6 +252,7 @@ def all_oracles() -> dict[str, str]:
     filled = ", ".join(f"coalesce({c}, 0) as {c}" for c in ZERO_FILLED)
     required = " and ".join(f"{c} is not null" for c in REQUIRED)
     model_columns = ", ".join(f"coalesce({c}, 0) as {c}" if c in ZERO_FILLED else c for c in MODEL_COLUMNS)
+    train = " + ".join(f"coalesce({c}, 0)" if c in ZERO_FILLED else c for c in STRESS_FEATURES)
     md5 = "md5(concat_ws('|', coalesce(cast(user_id as varchar), ''), coalesce(cast(date_key as varchar), ''), '42'))"
     return {
         "clip_negative": over("daily_log", f"select {_clipped()} from daily_log"),
@@ -349,6 +364,27 @@ def all_oracles() -> dict[str, str]:
             f"select user_id, date_key, case when date_key < {FIRST_TEST_KEY} then 'train' else 'test' end as split"
             " from fact_daily",
         ),
+        "label_index": over(
+            "fact_daily",
+            f"select label as stress_change_label, label, cast(row_number() over (order by count(*) desc, label) - 1 as double)"
+            f" as label_idx, count(*) as rows from ({LABELED}) group by label",
+        ),
+        "category_index": over(
+            "fact_daily",
+            "select gender, gender_idx, activity_level, activity_level_idx, count(*) as rows"
+            f" from ({INDEXED}) group by gender, gender_idx, activity_level, activity_level_idx",
+        ),
+        "feature_vector": over(
+            "fact_daily",
+            f"select user_id, date_key, {len(STRESS_FEATURES)} as features, {rd(train)} as total from ({INDEXED})",
+        ),
+        "prediction_actuals": over(
+            "fact_daily",
+            f"select user_id, date_key, {STRESS} as actual_stress_change, sleep_quality as actual_sleep_quality,"
+            f" {rd('coalesce(weight_change_30d, 0)', 3)} as actual_weight_change_30d,"
+            f" case when cast('0x' || substr({md5}, 1, 8) as bigint) % 100 < 80 then 'train' else 'test' end as split"
+            " from fact_daily",
+        ),
         "merge_outer": over("fact_daily", MERGED),
         "merge_outer_split": over("fact_daily", MERGED),
         "classification_accuracy": over("fact_daily", _classification()),

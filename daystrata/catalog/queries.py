@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +99,39 @@ def _merge(df: DataFrame, keys: Sequence[str] = ("user_id", "date_key"), group_r
     )
 
 
+def _label_index(df: DataFrame) -> DataFrame:
+    """Index of every stress label, turned back into its name."""
+    labeled = models.with_targets(models.prepare_ml(df)).select("stress_change_label")
+    model = models.label_indexer("stress_change_label", "label_idx").fit(labeled)
+    named = models.label_names("label_idx", "label", model.labels).transform(model.transform(labeled))
+    return named.groupBy("stress_change_label", "label", "label_idx").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _category_index(df: DataFrame) -> DataFrame:
+    indexed = models.category_indexers().fit(df).transform(df)
+    return indexed.groupBy("gender", "gender_idx", "activity_level", "activity_level_idx").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def _feature_vector(df: DataFrame) -> DataFrame:
+    """Length and total of the stress features of every row."""
+    rows = models.prepare_ml(df)
+    rows = models.category_indexers().fit(rows).transform(rows)
+    total = F.aggregate("values", F.lit(0.0), lambda total, value: total + value)
+    shown = models.assembler(models.STRESS_FEATURES, "features").transform(rows).select(
+        "user_id", "date_key", vector_to_array("features").alias("values")
+    )
+    return shown.select("user_id", "date_key", F.size("values").alias("features"), F.round(total, 2).alias("total"))
+
+
+def _prediction_actuals(df: DataFrame) -> DataFrame:
+    """Keys and actual values of the scored rows, with small forests, as only the predictions depend on their size."""
+    small = tuple(replace(target, trees=5, depth=4) for target in models.TARGETS)
+    scored = models.train_and_score(df, targets=small, with_split=True)
+    return scored.drop(*[target.predicted for target in small])
+
+
 def _bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log written as CSV, then read, checked, stamped and stored by the bronze stage."""
     folder = files.scratch_dir(spark)
@@ -225,5 +260,9 @@ def all_queries() -> dict[str, Query]:
         "merge_outer_split": _on(fact_frame, lambda df: _merge(df, group_rows=0)),
         "classification_accuracy": _on(fact_frame, _yesterday_as_prediction),
         "regression_error": _on(fact_frame, _no_change_as_prediction),
+        "label_index": _on(fact_frame, _label_index),
+        "category_index": _on(fact_frame, _category_index),
+        "feature_vector": _on(fact_frame, _feature_vector),
+        "prediction_actuals": _on(fact_frame, _prediction_actuals),
         "predictions": _on(fact_frame, models.train_and_score),
     }

@@ -124,13 +124,23 @@ def with_targets(df: DataFrame) -> DataFrame:
     )
 
 
-def _shared_indexers() -> Pipeline:
-    """Category indexes that all models share; unknown and missing categories get an index of their own."""
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in ("gender", "activity_level")
-        ]
-    )
+def category_indexers(cols: Sequence[str] = ("gender", "activity_level")) -> Pipeline:
+    """Category indexes that all models share, by falling frequency; unknown and missing categories get their own."""
+    return Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cols])
+
+
+def label_indexer(label: str, out: str) -> StringIndexer:
+    """Label index, by falling frequency; rows with an unknown label are skipped."""
+    return StringIndexer(inputCol=label, outputCol=out, handleInvalid="skip")
+
+
+def label_names(index: str, out: str, labels: Sequence[str]) -> IndexToString:
+    return IndexToString(inputCol=index, outputCol=out, labels=list(labels))
+
+
+def assembler(features: Sequence[str], out: str) -> VectorAssembler:
+    """Feature vector; a null among the features is an error."""
+    return VectorAssembler(inputCols=list(features), outputCol=out)
 
 
 def _stages(target: Target, labels: list[str] | None) -> Pipeline:
@@ -139,15 +149,13 @@ def _stages(target: Target, labels: list[str] | None) -> Pipeline:
         labelCol=target.index, featuresCol=vector, predictionCol=target.raw,
         numTrees=target.trees, maxDepth=target.depth, seed=target.seed,
     )
-    assembler = VectorAssembler(inputCols=list(target.features), outputCol=vector)
+    features = assembler(target.features, vector)
     if not target.classes:
-        return Pipeline(stages=[assembler, RandomForestRegressor(**common)])
+        return Pipeline(stages=[features, RandomForestRegressor(**common)])
     forest = RandomForestClassifier(
         **common, rawPredictionCol=f"_{target.name}_votes", probabilityCol=f"_{target.name}_probability"
     )
-    return Pipeline(
-        stages=[assembler, forest, IndexToString(inputCol=target.raw, outputCol=target.predicted, labels=labels)]
-    )
+    return Pipeline(stages=[features, forest, label_names(target.raw, target.predicted, labels)])
 
 
 def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | None) -> DataFrame:
@@ -169,14 +177,13 @@ def train_models(
     """
     used = {"gender", "activity_level", "split", *(c for t in targets for c in (t.label, *t.features))}
     rows = rows.select(*[c for c in rows.columns if c in used])
-    trained = Trained(_shared_indexers().fit(rows.filter(F.col("split") == "train")))
+    trained = Trained(category_indexers().fit(rows.filter(F.col("split") == "train")))
     indexed = trained.shared.transform(rows).persist(storage)
 
     def fit(target: Target) -> None:
         frame, labels = indexed, None
         if target.classes:
-            indexer = StringIndexer(inputCol=target.label, outputCol=target.index, handleInvalid="skip")
-            label_model = indexer.fit(indexed)
+            label_model = label_indexer(target.label, target.index).fit(indexed)
             labels = label_model.labels
             frame = label_model.transform(indexed)
         # The copy leaves out the training summary, which would drag its frame and session into every task.
