@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daystrata.catalog.queries import DESCRIBED, FIRST_TEST_KEY
+from daystrata.catalog.queries import DESCRIBED, FIRST_TEST_KEY, MEANS
 from daystrata.plans.models import MODEL_COLUMNS, REQUIRED, STRESS_FEATURES, ZERO_FILLED
 from daystrata.schema import DAILY_LOG_FIELDS, NON_NEGATIVE, RANGE_RULES
 
@@ -133,9 +133,8 @@ def over(frame: str, body: str, *more: str) -> str:
 
 
 def _means(window: str) -> str:
-    columns = {"ra30_steps": "steps", "ra30_calories": "calories_burned", "ra30_ex_minutes": "exercise_minutes", "ra30_stress": "stress_level"}
-    inner = ", ".join(f"avg({c}) {window} as {out}" for out, c in columns.items())
-    outer = ", ".join(f"{rd(out)} as {out}" for out in columns)
+    inner = ", ".join(f"avg({c}) {window} as {out}" for out, c in MEANS.items())
+    outer = ", ".join(f"{rd(out)} as {out}" for out in MEANS)
     return f"select user_id, date, {outer} from (select user_id, date, {inner} from clean)"
 
 
@@ -230,8 +229,8 @@ LABELED = f"select {STRESS.replace('stress_change_30d', 'coalesce(stress_change_
 
 def _index(col: str, missing_last: bool = False) -> str:
     """Rank of a category by falling frequency, ties by name; null comes after all others if kept."""
-    return f"""(select {col} as name, cast(row_number() over (order by {'name_missing, ' if missing_last else ''}n desc, {col}) - 1 as double)
- as idx from (select {col}, {col} is null as name_missing, count(*) as n from fact_daily group by {col}))"""
+    first = "name_missing, " if missing_last else ""
+    return f"""(select {col} as name, cast(row_number() over (order by {first}n desc, {col}) - 1 as double) as idx from (select {col}, {col} is null as name_missing, count(*) as n from fact_daily group by {col}))"""
 
 
 INDEXED = f"""

@@ -30,6 +30,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 DESCRIBED = ("age", "steps", "heart_rate_avg", "sleep_hours", "calories_burned", "exercise_minutes", "stress_level", "weight_kg", "bmi")
 STEP_BINS = ((0, "very_low"), (3000, "low"), (7000, "moderate"), (12000, "high"))
 
+MEANS = {
+    "ra30_steps": "steps",
+    "ra30_calories": "calories_burned",
+    "ra30_ex_minutes": "exercise_minutes",
+    "ra30_stress": "stress_level",
+}
+
 # First day of the test part in the split by date.
 FIRST_TEST_KEY = 19980101
 
@@ -169,7 +176,6 @@ def _stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    means = {"ra30_steps": "steps", "ra30_calories": "calories_burned", "ra30_ex_minutes": "exercise_minutes", "ra30_stress": "stress_level"}
     lags = {"weight_prev": ("weight_kg", 1), "lag1_stress": ("stress_level", 1), "lag1_sleep_hours": ("sleep_hours", 1)}
     change_30 = {"weight_change_30d": "weight_kg", "stress_change_30d": "stress_level"}
     change_7 = {"weight_change_7d": "weight_kg", "stress_change_7d": "stress_level"}
@@ -229,13 +235,13 @@ def all_queries() -> dict[str, Query]:
         "change_30": _added(clean_frame, lambda df: history.change_over(df, change_30), *change_30),
         "change_7": _added(clean_frame, lambda df: history.change_over(df, change_7, 7), *change_7),
         "clamp_delta": _added(clean_frame, lambda df: history.change_over(df, change_30, clamp=5), *change_30),
-        "rolling_avg_30": _added(clean_frame, lambda df: history.rolling_mean(df, means), *means, digits=2),
+        "rolling_avg_30": _added(clean_frame, lambda df: history.rolling_mean(df, MEANS), *MEANS, digits=2),
         "rolling_avg_30_days": _added(
-            clean_frame, lambda df: history.rolling_mean(df, means, frame="days"), *means, digits=2
+            clean_frame, lambda df: history.rolling_mean(df, MEANS, frame="days"), *MEANS, digits=2
         ),
         "change_30_days": _added(clean_frame, lambda df: history.change_over(df, change_30, frame="days"), *change_30),
         "rolling_avg_30_split": _added(
-            clean_frame, lambda df: history.rolling_mean(df, means, group_rows=100), *means, digits=2
+            clean_frame, lambda df: history.rolling_mean(df, MEANS, group_rows=100), *MEANS, digits=2
         ),
         # layers
         "silver": _on(silver_frame, _shown),
@@ -251,8 +257,14 @@ def all_queries() -> dict[str, Query]:
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,
         # models
-        "ml_drop_missing": _on(fact_frame, lambda df: clean.drop_missing(df, models.REQUIRED).select("user_id", "date_key", *models.REQUIRED)),
-        "ml_fill_zero": _on(fact_frame, lambda df: clean.fill_zero(df.select("user_id", "date_key", *models.ZERO_FILLED), models.ZERO_FILLED)),
+        "ml_drop_missing": _on(
+            fact_frame,
+            lambda df: clean.drop_missing(df, models.REQUIRED).select("user_id", "date_key", *models.REQUIRED),
+        ),
+        "ml_fill_zero": _on(
+            fact_frame,
+            lambda df: clean.fill_zero(df, models.ZERO_FILLED).select("user_id", "date_key", *models.ZERO_FILLED),
+        ),
         "ml_dataset": _on(fact_frame, models.prepare_ml),
         "hash_split": _on(fact_frame, lambda df: evaluate.hash_split(df.select("user_id", "date_key"))),
         "date_split": _on(fact_frame, lambda df: evaluate.date_split(df.select("user_id", "date_key"), FIRST_TEST_KEY)),

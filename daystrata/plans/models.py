@@ -172,8 +172,9 @@ def train_models(
 ) -> Trained:
     """Fit all targets on the "train" rows of a model frame with targets and ``split``, and measure on the rest.
 
-    The indexed frame, cut down to the columns in use, is kept for the many passes of the forests; lost blocks are recomputed from its source. Up to
-    ``parallelism`` models train at a time: their jobs fill the gaps that the driver work between levels leaves.
+    The indexed frame, cut down to the columns in use, is kept for the many passes of the forests; lost blocks are
+    recomputed from its source. Up to ``parallelism`` models train at a time: their jobs fill the gaps that the
+    driver work between levels leaves.
     """
     used = {"gender", "activity_level", "split", *(c for t in targets for c in (t.label, *t.features))}
     rows = rows.select(*[c for c in rows.columns if c in used])
