@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from daystrata.functions.scalar import date_key, weekday_name
 from daystrata.operators.history import duplicate_keys
-from daystrata.operators.skew import large_groups, split_by_keys
-
-# Parts over which the rows of one large key are spread in a join.
-SPREAD = 64
+from daystrata.operators.skew import GROUP_ROWS, large_groups, split_by_keys
 
 
 def rounded(cols: Sequence[str], digits: int = 2) -> list[Column]:
@@ -113,32 +110,69 @@ def merge_outer(
             large = large.unionByName(more).distinct()
         else:
             large = more if large is None else large
-        merged = _outer(merged, frame, on, large)
+        merged = _outer(merged, frame, on, large, max(1, GROUP_ROWS if group_rows is None else group_rows))
     return merged
 
 
-def _outer(left: DataFrame, right: DataFrame, on: list[str], large: DataFrame | None) -> DataFrame:
+def _outer(left: DataFrame, right: DataFrame, on: list[str], large: DataFrame | None, cell_rows: int) -> DataFrame:
     if large is None:
         return left.join(right, on, "outer")
     left_rest, left_large = split_by_keys(left, on, large)
     right_rest, right_large = split_by_keys(right, on, large)
     joined = left_rest.join(right_rest, on, "outer")
-    return joined.unionByName(_spread_outer(left_large, right_large, on))
+    return joined.unionByName(_spread_outer(left_large, right_large, on, cell_rows))
+
 
+def _spread_outer(left: DataFrame, right: DataFrame, on: list[str], cell_rows: int) -> DataFrame:
+    """Full outer join of a few large keys.
 
-def _spread_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full outer join of a few large keys: matches with the left side spread over SPREAD salts and the right side
-    repeated for each, and the rows without a match found by comparing with the distinct keys of the other side."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
-    matches = salted.join(repeated, [*on, "_salt"]).drop("_salt")
+    The matches of a key form a grid: its left rows are cut into parts and its right rows into parts, each of about
+    ``cell_rows`` rows, and every left part meets every right part in a cell of its own. A row is repeated once per
+    part of the other side, which is far less than the rows it produces. Rows without a match are found by comparing
+    with the keys of the other side.
+    """
     # At most one row per large key.
+    sizes = _parts(left, on, "_left_parts", cell_rows).join(_parts(right, on, "_right_parts", cell_rows), on)
+    sizes = F.broadcast(sizes)
+    left_cells = _cells(left, sizes, on, "_left", "_right")
+    right_cells = _cells(right, sizes, on, "_right", "_left")
+    cells = left_cells.join(right_cells, [*on, "_left_part", "_right_part"])
+    # One step per side, so that no array is longer than the copies of one row in one part.
+    for side in ("_left", "_right"):
+        cells = cells.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{side}_copies"))))
+    matches = cells.select(*on, *[c for c in (*left.columns, *right.columns) if c not in on])
     left_only = left.join(F.broadcast(right.select(*on).distinct()), on, "left_anti")
     right_only = right.join(F.broadcast(left.select(*on).distinct()), on, "left_anti")
     result = matches.unionByName(left_only, allowMissingColumns=True)
     return result.unionByName(right_only, allowMissingColumns=True)
 
 
+def _parts(df: DataFrame, on: list[str], name: str, cell_rows: int) -> DataFrame:
+    """Number of parts that the rows of each key are cut into."""
+    return df.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("long").alias(name))
+
+
+def _cells(df: DataFrame, sizes: DataFrame, on: list[str], side: str, other: str) -> DataFrame:
+    """Distinct rows with their number of copies, dealt out over the parts of their side, for every part of the other.
+
+    Copies are counted before the shuffle and shared out among parts, so even a key of nothing but copies spreads.
+    """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_all")).join(sizes, on)
+    parts = F.col(f"{side}_parts")
+    shares = F.least(F.col("_all"), parts)
+    dealt = counted.withColumn("_share", F.explode(F.sequence(zero, shares - one)))
+    copies = F.floor(F.col("_all") / shares) + F.when(F.col("_share") < F.col("_all") % shares, one).otherwise(zero)
+    dealt = dealt.withColumns(
+        {
+            f"{side}_copies": copies,
+            f"{side}_part": F.pmod(F.pmod(F.xxhash64(*df.columns), parts) + F.col("_share"), parts),
+        }
+    )
+    dealt = dealt.withColumn(f"{other}_part", F.explode(F.sequence(zero, F.col(f"{other}_parts") - one)))
+    return dealt.select(*df.columns, f"{side}_part", f"{other}_part", f"{side}_copies")
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows in key order, as a top-k rather than a full sort."""
     return df.orderBy(*order).limit(n)

@@ -88,6 +88,21 @@ def test_merge_outer(spark, group_rows):
     assert Counter(tuple(r) for r in merged.select("k", "x", "y").collect()) == outer(left, right)
 
 
+def test_merge_of_copies_on_both_sides(spark):
+    left = [(1, 5)] * 23 + [(1, 6)] * 2 + [(2, 5)] * 9
+    right = [(1, "a")] * 11 + [(1, None)] * 4 + [(3, "a")] * 9
+    a, b = spark.createDataFrame(left, "k int, x int"), spark.createDataFrame(right, "k int, y string")
+    for group_rows in (1, 3, 7):
+        merged = star.merge_outer(a, b, on=["k"], group_rows=group_rows)
+        assert Counter(tuple(r) for r in merged.select("k", "x", "y").collect()) == outer(left, right)
+    sizes = star._parts(a, ["k"], "_left_parts", 3).join(star._parts(b, ["k"], "_right_parts", 3), ["k"])
+    cells = star._cells(a, sizes, ["k"], "_left", "_right").collect()
+    held = Counter()
+    for r in cells:
+        held[r._left_part, r._right_part] += r._left_copies
+    assert len(held) == 9 * 5 and max(held.values()) <= 4 and sum(held.values()) == 25 * 5
+
+
 def test_merge_of_three_multiplies_repeated_keys(spark):
     frames = [spark.createDataFrame([(1, 1, i), (1, 1, i + 1), (2, 1, i)], f"user_id int, date_key int, c{i} int") for i in range(3)]
     for group_rows in (None, 0):
