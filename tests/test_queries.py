@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as registered
 import check
+from daystrata.catalog.queries import all_queries
 
 ROWS_ONLY = {"predictions"}
 
@@ -16,11 +17,11 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) - set(registered.oracle_sql()) == ROWS_ONLY
+    assert set(all_queries()) - set(registered.oracle_sql()) == ROWS_ONLY
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, db, sf_dir, name):
     same, rows, note = check.compare(spark, db, sf_dir, name)
     assert same, note
