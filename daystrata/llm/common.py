@@ -31,3 +31,14 @@ def text_of(name: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def keep_in_batches(df: DataFrame, rows: int = 256) -> DataFrame:
+    """``keep`` with at most ``rows`` rows in a batch to Python, so that a batch of long texts stays small."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        return keep(df)
+    finally:
+        spark.conf.set(name, before)

@@ -123,8 +123,73 @@ from docs left join found using (row_no)
 """
 
 
+PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACED_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def near_dedup_sql(words: int = 4) -> str:
+    return f"""
+with recursive split as (
+  select doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{SPACED_WORD}') as w from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < {words} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i : i + {words - 1}], ' ')) end) as s
+  from split),
+shingles as (select doc_id, unnest(s) as g from sets),
+common as (
+  select a.doc_id as l, b.doc_id as r, count(*) as n
+  from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+linked as (
+  select l, r from common join sets a on a.doc_id = l join sets b on b.doc_id = r
+  where 100 * n >= 80 * (len(a.s) + len(b.s) - n)),
+both_ways as (select l, r from linked union select r, l from linked),
+reach as (
+  select doc_id as l, doc_id as r from sets
+  union select reach.l, both_ways.r from reach join both_ways on both_ways.l = reach.r)
+select doc_id, n_shingles, component_id, doc_id = component_id as kept
+from (
+  select sets.doc_id, len(s)::bigint as n_shingles, min(reach.r) as component_id
+  from sets join reach on reach.l = sets.doc_id group by sets.doc_id, s)
+"""
+
+
+def leaks_sql(window: int = 20, needed: int = 16) -> str:
+    return f"""
+with docs as (
+  select doc_id, w, unnest(range(len(w))) as at, unnest(w) as word
+  from (select doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{PLAIN_WORD}') as w from documents)),
+items as (
+  select item_id, w, unnest(range(len(w))) as at, unnest(w) as word
+  from (select item_id, regexp_extract_all({_lower("text")}, '{PLAIN_WORD}') as w from benchmark where text is not null)),
+equal_words as (
+  select doc_id, item_id, docs.at - items.at as start, items.at as place, len(docs.w) as doc_words, len(items.w) as item_words
+  from docs join items using (word)),
+aligned as (
+  select doc_id, item_id, start, doc_words, item_words,
+    count(*) over (partition by doc_id, item_id, start order by place range between current row and {window - 1} following) as near
+  from equal_words),
+places as (
+  select doc_id, item_id, start, max(near) as most, count(*) as n_equal,
+    greatest(start, 0) as start_word, least(item_words, doc_words - start) - greatest(0, -start) as n_words, item_words
+  from aligned group by doc_id, item_id, start, doc_words, item_words),
+held as (
+  select *, row_number() over (partition by doc_id, item_id order by n_equal desc, start_word) as rank
+  from places
+  where case when item_words < {window} then n_words = item_words and n_equal = item_words
+    else n_words >= {window} and most >= {needed} end)
+select doc_id, item_id, start_word::bigint as start_word, n_words::bigint as n_words, n_equal, n_equal / n_words as share
+from held where rank = 1
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "op1_near_dedup": near_dedup_sql(),
+        "op5_decontaminate": leaks_sql(),
         "op4_license_scan": license_scan_sql(),
         "op7_exact_dedup": EXACT_DEDUP,
         "op10_pii": pii_sql(),
