@@ -18,6 +18,8 @@ FIT_ROWS = 30_000
 TERMS = 512
 # A term in fewer documents of the sample than this tells nothing.
 LEAST_DOCUMENTS = 5
+# Squared standard errors by which a term's documents must differ from all; less is likely chance among so many terms.
+LEAST_WORTH = 25.0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -59,7 +61,7 @@ def sample_terms(rows: DataFrame, chosen: DataFrame, terms_of, terms: int = TERM
         return Sample(np.zeros(0, np.int64), np.full(max(1, n), label), np.zeros(0, np.int64), np.zeros(max(1, n), np.int64))
     each = met.select("label", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("label").alias("s"))
     worth = F.pow(F.col("s") - F.col("n") * F.lit(mean), 2) / (F.col("n") * F.lit(var))
-    best = each.filter(F.col("n") >= LEAST_DOCUMENTS).orderBy(worth.desc(), "bucket").limit(terms)
+    best = each.filter((F.col("n") >= LEAST_DOCUMENTS) & (worth >= LEAST_WORTH)).orderBy(worth.desc(), "bucket").limit(terms)
     buckets = np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), np.int64)
     few = met.select("doc_id", "label", matched("buckets", buckets).alias("buckets"))
     rows = sorted((r["doc_id"], r["label"], sorted(r["buckets"])) for r in few.collect())

@@ -12,14 +12,21 @@ from daystrata.llm.hashed import BUCKETS, FIT_ROWS, TERMS, Adam, Sample, drawn,
 
 FACTORS = 8
 THRESHOLD = 0.7
+# Characters of a word's beginnings that are terms of their own.
+BEGINNINGS = (4, 5, 6)
 # Anything but ASCII letters and digits and what is not ASCII parts terms.
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def with_terms(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``buckets``: the distinct hashed lower-case words of the whole text."""
+    """``rows`` with ``buckets``: the distinct hashed terms of the whole text, lower-case words and their beginnings.
+
+    Languages that compound words say the same thing in ever new words, so beginnings count too.
+    """
     words = F.array_remove(F.array_distinct(F.split(F.lower("text"), BREAKS)), "")
-    return rows.withColumn("buckets", F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))))
+    hashed = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
+    terms = F.transform(words, lambda w: F.array(hashed(w), *(hashed(F.left(w, F.lit(n)), F.lit(n)) for n in BEGINNINGS)))
+    return rows.withColumn("buckets", F.array_distinct(F.flatten(terms)))
 
 
 def fit(sample: Sample, factors: int = FACTORS, steps: int = 300, rate: float = 0.05, shrink: float = 1e-5, seed: int = 11) -> dict:
