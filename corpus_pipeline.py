@@ -2,21 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm.common import documents, keep
+from daystrata.llm.common import WORD, documents, keep, small, text_of
+from daystrata.llm.decontaminate import find_leaks
 from daystrata.llm.exact_dedup import exact_dedup
+from daystrata.llm.mixing import mix_sources
+from daystrata.llm.near_dedup import near_duplicates
+from daystrata.llm.toxicity import without_toxic
+
+# Lists of rows to drop or keep that are broadcast; longer ones are joined by shuffle.
+LISTED_ROWS = 200_000
+
+
+def _met(**columns: Column | str) -> Column:
+    """Whether columns of a list are the same as columns or expressions of the documents, null as null."""
+    result = F.lit(True)
+    for listed, own in columns.items():
+        result &= F.col(listed).eqNullSafe(own if isinstance(own, Column) else F.col(own))
+    return result
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not scored as toxic."""
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest id stays."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("kept_sha256"))
-    return docs.join(kept, same, "left_semi")
+    copies = exact_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"))
+    copies = small(keep(copies), LISTED_ROWS)
+    return docs.join(copies, _met(_id="doc_id", _sha256=F.sha2(text_of(), 256)), "left_anti")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles, directly or over others, the one with the smallest id stays."""
+    copies = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"))
+    return docs.join(small(keep(copies), LISTED_ROWS), _met(_id="doc_id"), "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any item of the benchmark."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(small(keep(leaks), LISTED_ROWS), _met(_id="doc_id", _hash=F.xxhash64(text_of())), "left_anti")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the number of times (mix_copies)."""
+    taken = mix_sources(docs).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("mix_copies"))
+    taken = taken.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
+    size = F.regexp_count(text_of(), F.lit(WORD)).cast("long")
+    met = _met(_id="doc_id", _source="source", _size=size)
+    return docs.join(small(keep(taken), LISTED_ROWS), met).drop("_id", "_source", "_size")
 
 
-STAGES = [("exact dedup", drop_copies)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix),
+]
+# Tokens, seeds and a fitted model have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

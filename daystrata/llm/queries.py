@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import decontaminate, exact_dedup, license_scan, mixing, near_dedup, pii, quality, token_counts, toxicity
+from daystrata.llm import decontaminate, exact_dedup, license_scan, mixing, near_dedup, pii, quality, substring_dedup, token_counts, toxicity
 from daystrata.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), benchmark).drop("text_hash")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("locator")
 
@@ -61,6 +65,7 @@ def all_queries() -> dict[str, Query]:
         "op3_token_counts": op3_token_counts,
         "op4_license_scan": op4_license_scan,
         "op5_decontaminate": op5_decontaminate,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_quality": op8_quality,
         "op9_mixing": op9_mixing,

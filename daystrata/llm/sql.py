@@ -186,11 +186,33 @@ from held where rank = 1
 """
 
 
+def substring_dedup_sql(window: int = 35) -> str:
+    return f"""
+with docs as (
+  select row_number() over () as row_no, doc_id, regexp_extract_all(coalesce(text, ''), '{SPACED_WORD}') as w from documents),
+windows as (
+  select row_no, start, md5(array_to_string(w[start : start + {window - 1}], ' ')) as run
+  from (select row_no, w, unnest(range(1, len(w) - {window - 2})) as start from docs where len(w) >= {window})),
+recurring as (
+  select row_no, start from windows join (select run from windows group by run having count(*) > 1) using (run)),
+covered as (select distinct row_no, unnest(range(start, start + {window})) as place from recurring),
+removed as (select row_no, list(place) as places, count(*) as n from covered group by row_no),
+words as (
+  select docs.row_no, place, word
+  from (select row_no, unnest(range(1, len(w) + 1)) as place, unnest(w) as word from docs) docs
+  anti join covered on covered.row_no = docs.row_no and covered.place = docs.place),
+kept as (select row_no, string_agg(word, ' ' order by place) as text from words group by row_no)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from docs left join removed using (row_no) left join kept using (row_no)
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_near_dedup": near_dedup_sql(),
         "op5_decontaminate": leaks_sql(),
         "op4_license_scan": license_scan_sql(),
+        "op6_substring_dedup": substring_dedup_sql(),
         "op7_exact_dedup": EXACT_DEDUP,
         "op10_pii": pii_sql(),
     }

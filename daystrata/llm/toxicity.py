@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daystrata.llm.common import text_of
@@ -21,12 +21,24 @@ BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 def with_terms(rows: DataFrame) -> DataFrame:
     """``rows`` with ``buckets``: the distinct hashed terms of the whole text, lower-case words and their beginnings.
 
-    Languages that compound words say the same thing in ever new words, so beginnings count too.
+    Languages that compound words say the same thing in ever new words, so beginnings count too, and once more if two
+    or three words of the text begin so.
     """
     words = F.array_remove(F.array_distinct(F.split(F.lower("text"), BREAKS)), "")
     hashed = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
     terms = F.transform(words, lambda w: F.array(hashed(w), *(hashed(F.left(w, F.lit(n)), F.lit(n)) for n in BEGINNINGS)))
-    return rows.withColumn("buckets", F.array_distinct(F.flatten(terms)))
+    rows = rows.withColumn("buckets", F.sort_array(F.flatten(terms)))
+    again = [_repeated(n, hashed) for n in (1, 2)]
+    return rows.withColumn("buckets", F.array_distinct(F.concat("buckets", *again)))
+
+
+def _repeated(n: int, hashed) -> Column:
+    """A term of its own for every sorted bucket that also stands ``n`` places before."""
+    return F.transform(F.filter("buckets", lambda b, i: _same_before(b, i, n)), lambda b: hashed(b, F.lit(-n)))
+
+
+def _same_before(bucket: Column, place: Column, n: int) -> Column:
+    return F.when(place >= n, F.get("buckets", place - n) == bucket).otherwise(False)
 
 
 def fit(sample: Sample, factors: int = FACTORS, steps: int = 300, rate: float = 0.05, shrink: float = 1e-5, seed: int = 11) -> dict:
@@ -92,6 +104,22 @@ def with_score(rows: DataFrame, model: dict, buckets: np.ndarray) -> DataFrame:
     return with_terms(rows).withColumn("score", score).drop("buckets")
 
 
+def learnt(rows: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, terms: int = TERMS) -> tuple[dict, np.ndarray]:
+    """Model and buckets from ``rows`` (doc_id, text) and ``labels`` (doc_id, label)."""
+    labelled = labels.withColumn("label", F.col("label").cast("double"))
+    sample = sample_terms(rows, drawn(labelled, fit_rows), with_terms, terms, fit_rows)
+    return fit(sample), sample.buckets
+
+
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``docs``, whole rows, whose score is below ``threshold``; the model is that of ``score_toxicity``."""
+    rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    model, buckets = learnt(rows.drop("doc"), labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")))
+    return with_score(rows, model, buckets).filter(F.col("score") < threshold).select("doc.*")
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -111,10 +139,8 @@ def score_toxicity(
     an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    labelled = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
-    sample = sample_terms(rows, drawn(labelled, fit_rows), with_terms, terms, fit_rows)
-    scored = with_score(rows, fit(sample), sample.buckets)
-    return scored.select(
+    model, buckets = learnt(rows, labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")), fit_rows, terms)
+    return with_score(rows, model, buckets).select(
         "doc_id",
         "text",
         held_out(F.col("doc_id")).alias("held_out"),
