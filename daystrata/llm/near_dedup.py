@@ -14,29 +14,31 @@ from pyspark.sql import functions as F
 
 from daystrata.llm.common import keep, keep_in_batches, small, text_of
 from daystrata.llm.components import components
-from daystrata.llm.words import LOWER, WordHashes, mixed, runs
+from daystrata.llm.words import LOWER, MIX, WordHashes, mixed, runs
 
 SHINGLE_WORDS = 5
 # A link: 100 * common shingles >= PERCENT * all shingles of the two sets.
 PERCENT = 80
 BROADCAST_IDS = 200_000
+# Rounds in which open bands try the member with most links.
+PIVOTS = 3
 
 
 @dataclass(frozen=True)
 class Signer:
-    """MinHash samples of shingle sets, cut into bands, and odd sketches of them.
+    """MinHash samples of shingle sets, cut into bands, and odd sketches.
 
     A pair with similarity s shares no band with probability (1 - s ** rows) ** bands: with 40 bands of 5 rows one in
-    eight million pairs at 0.8, fewer above. The sketch is a bitmap in which every sample flips one bit; bits that
-    differ between two sketches count samples that differ, with sharp results where few do. ``least_estimate`` is
-    over five standard deviations below 0.8, so weeding out by it loses as little as the bands do.
+    eight million pairs at 0.8, fewer above. The sketch is a bitmap in which every sample of one permutation, the
+    smallest hash in each of ``bins`` ranges, flips one bit; bits that differ between two sketches count samples that
+    differ. Small sets are sampled almost whole, so the count is sharp for them.
     """
 
     words: int = SHINGLE_WORDS
     bands: int = 40
     rows: int = 5
-    bits: int = 512
-    least_estimate: float = 0.6
+    bins: int = 4096
+    bits: int = 2048
     seed: int = 7
 
     def __post_init__(self):
@@ -45,10 +47,22 @@ class Signer:
         object.__setattr__(self, "factors", random.integers(1, 2**63, samples, np.uint64) * np.uint64(2) + np.uint64(1))
         object.__setattr__(self, "shifts", random.integers(0, 2**63, samples, np.uint64))
 
-    def most_bits(self) -> int:
-        """Bits by which sketches may differ if the similarity is estimated at ``least_estimate``."""
-        differing = 2 * self.bands * self.rows * (1 - self.least_estimate)
-        return math.ceil(self.bits / 2 * (1 - (1 - 2 / self.bits) ** differing))
+    def most_bits(self, sizes: Column, percent: int, sigmas: float = 5.0) -> Column:
+        """Bits by which the sketches of a linked pair differ at most, but for chance beyond ``sigmas``.
+
+        ``sizes`` is the number of shingles of both sets together. Of u different shingles, u / bins fall into a bin.
+        Where the smallest one of a bin is not common, it is a differing sample, and so is the other set's smallest,
+        if it has one there. Bins with several shingles make the count vary, as do samples that meet on a bit.
+        """
+        like = percent / 100
+        load = sizes / (1 + like) / self.bins
+        half = (1 + like) / 2
+        empty = F.exp(-load)
+        expected = (2 * (1 - empty) - (F.exp(-load * half) - empty) / (1 - half)) * (self.bins * (1 - like))
+        several = (1 - empty * (1 + load)) * self.bins
+        most = expected + F.sqrt(F.greatest(several, F.lit(0.0))) * sigmas + 2
+        flipped = (1 - F.exp(most * (-2 / self.bits))) * (self.bits / 2)
+        return flipped + F.least(most * math.sqrt(2 / self.bits), F.lit(math.sqrt(self.bits) / 2)) * sigmas + 1
 
     def shingles(self, hashes: np.ndarray) -> np.ndarray:
         """The distinct shingles of a text's words; a shorter text is one shingle."""
@@ -72,9 +86,10 @@ class Signer:
             key = mixed(key ^ by_band[:, row])
         return key.view(np.int64)
 
-    def sketch(self, samples: np.ndarray) -> np.ndarray:
-        """The parity of the samples that fall on each bit, as 64-bit words."""
-        bit = mixed(samples + np.arange(len(samples), dtype=np.uint64)) % np.uint64(self.bits)
+    def sketch(self, shingles: np.ndarray) -> np.ndarray:
+        """The parity of the samples that fall on each bit, as 64-bit words; ``shingles`` are sorted."""
+        _, first = np.unique(shingles // np.uint64(2**64 // self.bins), return_index=True)
+        bit = mixed(shingles[first] ^ MIX) % np.uint64(self.bits)
         odd = np.bincount(bit.astype(np.int64), minlength=self.bits) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -102,7 +117,7 @@ def _signed(signer: Signer):
                     continue
                 samples = signer.samples(shingles)
                 digest = xxhash.xxh128_digest(shingles.tobytes())
-                rows.append((doc_id, len(shingles), digest, signer.keys(samples), signer.sketch(samples)))
+                rows.append((doc_id, len(shingles), digest, signer.keys(samples), signer.sketch(shingles)))
             columns = list(zip(*rows)) or [()] * len(SIGNED)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SIGNED)], schema=SIGNED)
 
@@ -145,8 +160,7 @@ class NearDuplicates:
         self.classes = keep(known.groupBy("digest").agg(F.min("doc_id").alias("rep")))
         # One row per different set: that of its first document.
         firsts = known.join(self.classes, (known.digest == self.classes.digest) & (F.col("doc_id") == F.col("rep")), "left_semi")
-        self.sets = keep(firsts.dropDuplicates(["digest"]).select(F.col("doc_id").alias("rep"), "keys", "sketch"))
-        self.sketches = self.sets.select("rep", "sketch")
+        self.sets = keep(firsts.dropDuplicates(["digest"]).select(F.col("doc_id").alias("rep"), "keys", "sketch", "n_shingles"))
 
     def members(self) -> DataFrame:
         """(key, rep) of every band shared by at least two sets."""
@@ -154,12 +168,22 @@ class NearDuplicates:
         shared = each.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1")
         return keep(each.join(shared, "key"))
 
+    def sketched(self, side: str) -> DataFrame:
+        return self.sets.select(
+            F.col("rep").alias(side), F.col("sketch").alias(f"{side}_sketch"), F.col("n_shingles").alias(f"{side}_size")
+        )
+
+    def close(self) -> Column:
+        """Whether the sizes and sketches of left and right allow a link."""
+        least, most = F.least("left_size", "right_size"), F.greatest("left_size", "right_size")
+        bits = self.signer.most_bits(F.col("left_size") + F.col("right_size"), self.percent)
+        return (100 * least >= self.percent * most) & (_differing_bits("left_sketch", "right_sketch") <= bits)
+
     def alike(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (left, right) whose sketches are close."""
-        left = self.sketches.select(F.col("rep").alias("left"), F.col("sketch").alias("left_sketch"))
-        right = self.sketches.select(F.col("rep").alias("right"), F.col("sketch").alias("right_sketch"))
-        joined = pairs.join(left, "left").join(right, "right")
-        return joined.filter(_differing_bits("left_sketch", "right_sketch") <= self.signer.most_bits()).select("left", "right")
+        """Those of the pairs (left, right) whose sketches are close, smaller id first."""
+        pairs = pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
+        joined = pairs.join(self.sketched("left"), "left").join(self.sketched("right"), "right")
+        return keep(joined.filter(self.close()).select("left", "right"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs that are linked by their full sets. Only texts that are in a pair are shuffled."""
@@ -170,32 +194,58 @@ class NearDuplicates:
         both = pairs.join(right, "right").join(left, "left").select("left", "right", "left_text", "right_text")
         return keep_in_batches(both.mapInArrow(_confirmed(self.signer.words, self.percent), "left long, right long"))
 
+    def open_bands(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """(key, rep, head, component, largest) of the bands whose members are in several components."""
+        labelled = members.filter("n > 2").join(found, members.rep == found.node, "left")
+        labelled = keep(labelled.select("key", "rep", "head", F.coalesce("component", "rep").alias("component")))
+        sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+        return keep(labelled.join(largest.filter("parts > 1").select("key", "largest"), "key"))
+
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Confirmed links and the components (node, component) they make.
 
-        First every member of a band is held against the band's smallest id. A band whose members are then in one
-        component can add nothing. In the others, members outside the band's largest component are held against all
-        members of other components; whoever the sketches tell apart is not passed on. So copies by the thousand
-        cost one pair each, and no link between components is missed.
+        First every member of a band is held against the band's smallest id, then ``PIVOTS`` times against the member
+        with most links so far, as long as that joins components; a band whose members are in one component can add
+        nothing. In the bands left, members outside the largest component are held against all members of other
+        components, and whoever sizes or sketches tell apart is not passed on. So copies by the thousand cost a few
+        pairs each, and no link between components is missed.
         """
         members = self.members()
-        stars = members.filter("head <> rep").select(F.col("head").alias("left"), F.col("rep").alias("right")).distinct()
-        first = self.confirmed(keep(self.alike(stars)))
-        found = components(first)
-        labelled = members.filter("n > 2").join(found, members.rep == found.node, "left")
-        labelled = keep(labelled.select("key", "rep", "head", F.coalesce("component", "rep").alias("component")))
-        sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
-        open_ = keep(labelled.join(largest.filter("parts > 1").select("key", "largest"), "key"))
+        stars = members.filter("head <> rep").select(F.col("head").alias("left"), F.col("rep").alias("right"))
+        links = self.confirmed(self.alike(stars))
+        found = components(links)
+        open_ = self.open_bands(members, found)
+        for _ in range(PIVOTS):
+            if open_.isEmpty():
+                return links, found
+            more = self.confirmed(self.alike(self.pivoted(open_, links)))
+            if more.isEmpty():
+                break
+            links = keep(links.unionByName(more).distinct())
+            found = components(links)
+            open_ = self.open_bands(members, found)
         if open_.isEmpty():
-            return first, found
-        sketched = open_.join(self.sketches, "rep")
-        few = sketched.filter("component <> largest").select(
-            F.col("key").alias("few_key"), F.col("rep").alias("left"), F.col("sketch").alias("left_sketch"), F.col("component").alias("left_component")
-        )
-        every = sketched.select(
-            "key", "head", F.col("rep").alias("right"), F.col("sketch").alias("right_sketch"), F.col("component").alias("right_component"), "largest"
+            return links, found
+        more = self.confirmed(keep(self.across(open_)))
+        links = keep(links.unionByName(more).distinct())
+        return links, components(links)
+
+    def pivoted(self, open_: DataFrame, links: DataFrame) -> DataFrame:
+        """(left, right): in each open band, the member with most links and those of other components than its own."""
+        degree = links.select(F.explode(F.array("left", "right")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        ranked = open_.join(degree, F.col("rep") == F.col("node"), "left")
+        best = F.struct(F.coalesce("degree", F.lit(0)), -F.col("rep"))
+        pivots = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "component"), best).alias("pivot"))
+        met = open_.join(pivots, "key").filter(F.col("component") != F.col("pivot.component"))
+        return met.select(F.col("pivot.rep").alias("left"), F.col("rep").alias("right"))
+
+    def across(self, open_: DataFrame) -> DataFrame:
+        """Close pairs (left, right) of members of a band that are in different components."""
+        few = open_.filter("component <> largest").select(
+            F.col("key").alias("few_key"), F.col("rep").alias("left"), F.col("component").alias("left_component")
         )
+        every = open_.select("key", "head", F.col("rep").alias("right"), F.col("component").alias("right_component"), "largest")
         untried = (
             (F.col("left_component") != F.col("right_component"))
             # Of two outside the largest component, one direction is enough; heads have been tried with everyone.
@@ -203,13 +253,9 @@ class NearDuplicates:
             & (F.col("left") != F.col("head"))
             & (F.col("right") != F.col("head"))
         )
-        close = _differing_bits("left_sketch", "right_sketch") <= self.signer.most_bits()
-        pairs = few.join(every, (F.col("few_key") == F.col("key")) & untried & close).select(
-            F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")
-        )
-        second = self.confirmed(keep(pairs.distinct()))
-        links = keep(first.unionByName(second).distinct())
-        return links, components(links)
+        few, every = few.join(self.sketched("left"), "left"), every.join(self.sketched("right"), "right")
+        pairs = few.join(every, (F.col("few_key") == F.col("key")) & untried & self.close())
+        return pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
 
 
 def near_duplicates(
