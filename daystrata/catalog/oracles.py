@@ -6,6 +6,9 @@ from daystrata.catalog.queries import DESCRIBED, FIRST_TEST_KEY, MEANS
 from daystrata.plans.models import MODEL_COLUMNS, REQUIRED, STRESS_FEATURES, ZERO_FILLED
 from daystrata.schema import DAILY_LOG_FIELDS, NON_NEGATIVE, RANGE_RULES
 
+# Of the 32-bit hash of a key: below it, a row is a train row.
+TRAIN_CUT = round(0.8 * 2**32)
+
 DAILY_LOG = """
  select cast(l_suppkey as int) as user_id,
   cast(18 + l_suppkey % 60 as int) as age,
@@ -315,6 +318,7 @@ def all_oracles() -> dict[str, str]:
             "silver", f"select user_id, date, stress_change_30d, {STRESS} as stress_change_label from silver"
         ),
         "lag_features": over(
+            "lag_features_split": over(
             "clean",
             f"select user_id, date, lag(weight_kg) {LAG} as weight_prev, lag(stress_level) {LAG} as lag1_stress,"
             f" lag(sleep_hours) {LAG} as lag1_sleep_hours from clean",
@@ -326,6 +330,7 @@ def all_oracles() -> dict[str, str]:
         "rolling_avg_30_days": over("clean", _means(DAYS_30)),
         "change_30_days": over("clean", _day_changes()),
         "rolling_avg_30_split": over("clean", _means(ROWS_30)),
+        "rolling_avg_30_days_split": over("clean", _means(DAYS_30)),
         "silver": over("silver", SILVER_SHOWN),
         "silver_split": over("silver", SILVER_SHOWN),
         "dim_user": over(
@@ -344,6 +349,11 @@ def all_oracles() -> dict[str, str]:
         ),
         "fact_daily": over("fact_daily", "select * from fact_daily"),
         "preview": over("silver", "select user_id, date, steps, activity_level from silver order by user_id, date limit 5"),
+        "bronze_csv_mixed_headers": over("raw_log", "select * from raw_log"),
+        "csv_rejects": over(
+            "raw_log", "select user_id, count(*) as rejected from raw_log where steps % 3 = 0 group by user_id"
+        ),
+        "silver_csv": over("silver", SILVER_SHOWN),
         "bronze_csv": over("raw_log", "select * from raw_log"),
         "clean_csv": over("raw_clean", "select * from raw_clean"),
         "stream_bronze": over("raw_log", "select * from raw_log"),
@@ -355,7 +365,7 @@ def all_oracles() -> dict[str, str]:
         "ml_dataset": over("fact_daily", f"select {model_columns} from fact_daily where {required}"),
         "hash_split": over(
             "fact_daily",
-            f"select user_id, date_key, case when cast('0x' || substr({md5}, 1, 8) as bigint) % 100 < 80"
+            f"select user_id, date_key, case when cast('0x' || substr({md5}, 1, 8) as bigint) < {TRAIN_CUT}"
             " then 'train' else 'test' end as split from fact_daily",
         ),
         "date_split": over(
@@ -381,9 +391,19 @@ def all_oracles() -> dict[str, str]:
             "fact_daily",
             f"select user_id, date_key, {STRESS} as actual_stress_change, sleep_quality as actual_sleep_quality,"
             f" {rd('coalesce(weight_change_30d, 0)', 3)} as actual_weight_change_30d,"
-            f" case when cast('0x' || substr({md5}, 1, 8) as bigint) % 100 < 80 then 'train' else 'test' end as split"
+            f" case when cast('0x' || substr({md5}, 1, 8) as bigint) < {TRAIN_CUT} then 'train' else 'test' end as split"
             " from fact_daily",
         ),
+        "prediction_checks": over(
+            "fact_daily",
+            "select count(*) as rows, count(distinct (user_id, date_key)) as keys, 0::bigint as nulls,"
+            " true as stress_known, true as stress_learnt, true as sleep_known, true as sleep_learnt from fact_daily",
+        ),
+        "category_domain": over(
+            "raw_log",
+            "select gender, case when gender in ('F', 'M') then gender end as category, count(*) as rows"
+            " from raw_log group by gender",
+        ),
         "merge_outer": over("fact_daily", MERGED),
         "merge_outer_split": over("fact_daily", MERGED),
         "classification_accuracy": over("fact_daily", _classification()),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,9 @@ MEANS = {
     "ra30_stress": "stress_level",
 }
 
+# Labels of the change in stress.
+STRESS_LABELS = ("more_stress", "less_stress", "no_changes")
+
 # First day of the test part in the split by date.
 FIRST_TEST_KEY = 19980101
 
@@ -115,6 +119,7 @@ def _label_index(df: DataFrame) -> DataFrame:
 
 
 def _category_index(df: DataFrame) -> DataFrame:
+    df = models.known_categories(df)
     indexed = models.category_indexers().fit(df).transform(df)
     return indexed.groupBy("gender", "gender_idx", "activity_level", "activity_level_idx").agg(
         F.count(F.lit(1)).alias("rows")
@@ -123,7 +128,7 @@ def _category_index(df: DataFrame) -> DataFrame:
 
 def _feature_vector(df: DataFrame) -> DataFrame:
     """Length and total of the stress features of every row."""
-    rows = models.prepare_ml(df)
+    rows = models.known_categories(models.prepare_ml(df))
     rows = models.category_indexers().fit(rows).transform(rows)
     total = F.aggregate("values", F.lit(0.0), lambda total, value: total + value)
     shown = models.assembler(models.STRESS_FEATURES, "features").transform(rows).select(
@@ -133,10 +138,36 @@ def _feature_vector(df: DataFrame) -> DataFrame:
 
 
 def _prediction_actuals(df: DataFrame) -> DataFrame:
-    """Keys and actual values of the scored rows, with small forests, as only the predictions depend on their size."""
-    small = tuple(replace(target, trees=5, depth=4) for target in models.TARGETS)
-    scored = models.train_and_score(df, targets=small, with_split=True)
-    return scored.drop(*[target.predicted for target in small])
+    """Keys, actual values and split of the scored rows."""
+    return models.train_and_score(df, with_split=True).drop(*[target.predicted for target in models.TARGETS])
+
+
+def _prediction_checks(df: DataFrame) -> DataFrame:
+    """What must hold for the predictions whatever the trees are: rows, keys, no nulls, known labels, some learning."""
+    scored = models.train_and_score(df, with_split=True)
+    is_train = F.col("split") == "train"
+    labels = {"stress": STRESS_LABELS, "sleep": tuple(label for _, label in SLEEP_BINS if label)}
+    checks = [
+        F.count("*").alias("rows"),
+        F.count_distinct("user_id", "date_key").alias("keys"),
+        F.count_if(reduce(or_, [F.col(t.predicted).isNull() for t in models.TARGETS])).alias("nulls"),
+    ]
+    for target in models.TARGETS:
+        if target.classes:
+            known = labels[target.name]
+            right = F.count_if(is_train & (F.col(target.predicted) == F.col(target.actual)))
+            most = F.greatest(*[F.count_if(is_train & (F.col(target.actual) == label)) for label in known])
+            checks.append((F.count_if(~F.col(target.predicted).isin(*known)) == 0).alias(f"{target.name}_known"))
+            checks.append((right >= most).alias(f"{target.name}_learnt"))
+    return scored.agg(*checks)
+
+
+def _category_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of gender, with the category each counts as."""
+    rows = raw_log(spark, sf_dir).select("gender")
+    domains = {"category": models.CATEGORIES["gender"]}
+    mapped = models.known_categories(rows.withColumn("category", F.col("gender")), domains)
+    return mapped.groupBy("gender", "category").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +177,34 @@ def _bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_bronze(spark, f"{folder}/raw", f"{folder}/bronze").drop(INGEST_TS)
 
 
+def _bronze_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log in two sets of files whose headers differ in order, read as one."""
+    folder = files.scratch_dir(spark)
+    raw = raw_log(spark, sf_dir)
+    even = F.col("steps") % 2 == 0
+    files.write_csv(raw.filter(even), f"{folder}/raw/as-is")
+    files.write_csv(raw.filter(~even).select(*reversed(raw.columns)), f"{folder}/raw/reversed")
+    return files.read_daily_csv(spark, f"{folder}/raw/*")
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the raw log that do not parse, after every third steps value was spoilt."""
+    folder = files.scratch_dir(spark)
+    raw = raw_log(spark, sf_dir)
+    spoilt = raw.withColumn("steps", F.when(F.col("steps") % 3 == 0, F.concat(F.lit("about "), "steps")).otherwise(F.col("steps")))
+    files.write_csv(spoilt, f"{folder}/raw")
+    _, bad = files.split_rejects(files.read_daily_csv(spark, f"{folder}/raw", keep_rejects=True))
+    return bad.groupBy("user_id").agg(F.count(F.lit(1)).alias("rejected"))
+
+
+def _silver_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched log exported as CSV with its derived columns, and read back."""
+    folder = files.scratch_dir(spark)
+    silver = _shown(silver_frame(spark, sf_dir))
+    files.write_csv(silver, f"{folder}/silver")
+    return spark.read.schema(silver.schema).option("header", True).csv(f"{folder}/silver")
+
+
 def _clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned log exported as CSV and read back."""
     folder = files.scratch_dir(spark)
@@ -160,7 +219,7 @@ def _stream_frames(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     arrival = F.col("age") % 2
     for part in (0, 1):
         files.write_csv(raw.filter(arrival == part), f"{folder}/raw/arrival-{part}")
-        incremental.ingest_new_files(spark, f"{folder}/raw/*", f"{folder}/bronze", f"{folder}/ingest", 8, False)
+        incremental.ingest_new_files(spark, f"{folder}/raw/*", f"{folder}/bronze", f"{folder}/ingest", multiline=False)
         incremental.refresh_silver(spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/refresh")
     return f"{folder}/bronze", f"{folder}/silver"
 
@@ -240,6 +299,10 @@ def all_queries() -> dict[str, Query]:
             clean_frame, lambda df: history.rolling_mean(df, MEANS, frame="days"), *MEANS, digits=2
         ),
         "change_30_days": _added(clean_frame, lambda df: history.change_over(df, change_30, frame="days"), *change_30),
+        "lag_features_split": _added(clean_frame, lambda df: history.lag_features(df, lags, group_rows=100), *lags),
+        "rolling_avg_30_days_split": _added(
+            clean_frame, lambda df: history.rolling_mean(df, MEANS, frame="days", group_rows=100), *MEANS, digits=2
+        ),
         "rolling_avg_30_split": _added(
             clean_frame, lambda df: history.rolling_mean(df, MEANS, group_rows=100), *MEANS, digits=2
         ),
@@ -253,7 +316,10 @@ def all_queries() -> dict[str, Query]:
         "preview": _on(silver_frame, lambda df: star.preview(df.select("user_id", "date", "steps", "activity_level"), ["user_id", "date"])),
         # sources, sinks and streams
         "bronze_csv": _bronze_csv,
+        "bronze_csv_mixed_headers": _bronze_csv_mixed_headers,
         "clean_csv": _clean_csv,
+        "csv_rejects": _csv_rejects,
+        "silver_csv": _silver_csv,
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,
         # models
@@ -273,8 +339,10 @@ def all_queries() -> dict[str, Query]:
         "classification_accuracy": _on(fact_frame, _yesterday_as_prediction),
         "regression_error": _on(fact_frame, _no_change_as_prediction),
         "label_index": _on(fact_frame, _label_index),
+        "category_domain": _category_domain,
         "category_index": _on(fact_frame, _category_index),
         "feature_vector": _on(fact_frame, _feature_vector),
         "prediction_actuals": _on(fact_frame, _prediction_actuals),
+        "prediction_checks": _on(fact_frame, _prediction_checks),
         "predictions": _on(fact_frame, models.train_and_score),
     }

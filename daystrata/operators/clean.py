@@ -53,7 +53,7 @@ def drop_nonpositive(df: DataFrame, col: str = "steps") -> DataFrame:
 
 
 def dedup_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct content; of the ``exclude`` columns the smallest value among the copies is kept.
+    """One row per distinct content; of the ``exclude`` columns the smallest value among the copies is kept, null last.
 
     A hash aggregate, so copies collapse before the shuffle, however many there are.
     """
@@ -63,7 +63,8 @@ def dedup_rows(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     content = [c for c in df.columns if c not in exclude]
     if len(exclude) == 1:
         return df.groupBy(*content).agg(F.min(exclude[0]).alias(exclude[0])).select(*df.columns)
-    kept = df.groupBy(*content).agg(F.min(F.struct(*exclude)).alias("_kept"))
+    null_last = [part for c in exclude for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    kept = df.groupBy(*content).agg(F.min(F.struct(*null_last)).alias("_kept"))
     return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in exclude else F.col(c) for c in df.columns])
 
 

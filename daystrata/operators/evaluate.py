@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def split_bucket(keys: Sequence[str], seed: int = 42, buckets: int = 100) -> Column:
-    """Bucket of a row from the MD5 of its keys, the same in any engine and under any partitioning."""
+def split_point(keys: Sequence[str], seed: int = 42) -> Column:
+    """Place of a row in 0 to 2**32 - 1 from the MD5 of its keys, the same in any engine and under any partitioning."""
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def hash_split(
     df: DataFrame, keys: Sequence[str] = ("user_id", "date_key"), train: float = 0.8, seed: int = 42
 ) -> DataFrame:
-    """Add ``split`` = "train" or "test" by hash of the keys."""
-    cut = round(train * 100)
-    return df.withColumn("split", F.when(split_bucket(keys, seed) < cut, "train").otherwise("test"))
+    """Add ``split`` = "train" or "test" by hash of the keys, to one part in 2**32."""
+    cut = round(train * 2**32)
+    return df.withColumn("split", F.when(split_point(keys, seed) < F.lit(cut), "train").otherwise("test"))
 
 
 def date_split(df: DataFrame, first_test_key: int, col: str = "date_key") -> DataFrame:

@@ -43,9 +43,6 @@ class Previous:
     def over_rows(self, window: WindowSpec, integral: bool = False) -> Column:
         return F.lag(self.col, self.n).over(window)
 
-    def over_days(self, window: WindowSpec) -> Column:
-        return F.max(self.col).over(window.rangeBetween(-self.n, -self.n))
-
     def daily(self) -> dict[str, Column]:
         return {f"_max_{self.col}": F.max(self.col)}
 
@@ -90,9 +87,6 @@ class TrailingMean(Previous):
         rows = F.count(self.col).over(upto) - F.count(self.col).over(before)
         return F.when(rows > 0, total.cast("double") / rows.cast("double"))
 
-    def over_days(self, window: WindowSpec) -> Column:
-        return F.avg(self.col).over(window.rangeBetween(1 - self.n, 0))
-
     def daily(self) -> dict[str, Column]:
         return {f"_sum_{self.col}": F.sum(self.col), f"_n_{self.col}": F.count(self.col)}
 
@@ -110,7 +104,6 @@ def history(
     features: Features,
     keys: Sequence[str] = USER,
     order: Sequence[str] = DAY,
-    stable: bool = False,
     frame: str = "rows",
     distinct: bool = False,
     exclude: Sequence[str] = (),
@@ -119,8 +112,9 @@ def history(
 ) -> DataFrame:
     """Add ``features`` (output name -> feature) to ``df``.
 
-    Rows that agree on ``order`` come in arbitrary order, or with ``stable`` in the order of a hash of the whole
-    row. ``distinct`` also removes duplicate rows, ignoring ``exclude``, in the same shuffle (and is stable).
+    Rows that agree on ``order`` come in the order of a hash of the whole row and then of its values, whatever path
+    their key takes. ``distinct`` also removes duplicate rows, ignoring ``exclude``, in the same shuffle; of the copies
+    the one with the smallest ``exclude`` values stays, null last.
     ``group_rows`` is the number of rows from which a key is split (default: GROUP_ROWS, looked for only in inputs
     larger than one task). ``sized_by`` is a frame to count the keys in instead of ``df``, such as the table that
     ``df`` was filtered from: its scan reads the key columns only, and more rows per key do no harm.
@@ -129,17 +123,16 @@ def history(
         raise ValueError(f"frame must be 'rows' or 'days', not {frame!r}")
     if frame == "days" and len(order) != 1:
         raise ValueError("a frame in days needs exactly one order column, a date")
-    plain = _plain_days if frame == "days" else _plain_rows
-    split = _split_days if frame == "days" else _split_rows
-
+    if frame == "days":
+        return _over_days(dedup_rows(df, exclude) if distinct else df, features, keys, order[0])
     large = large_groups(df if sized_by is None else sized_by, keys, group_rows)
     if large is None:
-        return plain(df, features, keys, order, stable, distinct, exclude)
+        return _plain_rows(df, features, keys, order, distinct, exclude)
     rest, big = split_by_keys(df, keys, large)
     if distinct:
         big = dedup_rows(big, exclude)
-    rest = plain(rest, features, keys, order, stable, distinct, exclude)
-    big = split(big, features, keys, order, exclude, group_rows or GROUP_ROWS)
+    rest = _plain_rows(rest, features, keys, order, distinct, exclude)
+    big = _split_rows(big, features, keys, order, exclude, group_rows or GROUP_ROWS)
     return rest.unionByName(big)
 
 
@@ -158,7 +151,14 @@ def _with_features(df: DataFrame, values: dict[str, Column], features: Features,
 
 
 def _row_hash(columns: Sequence[str], exclude: Sequence[str]) -> Column:
-    return F.xxhash64(*[c for c in columns if c not in exclude])
+    """Hash of the values and of which of them are null; the hash of the values alone passes nulls over."""
+    content = [c for c in columns if c not in exclude]
+    return F.xxhash64(*content, *[F.col(c).isNull() for c in content])
+
+
+def _in_order(columns: Sequence[str], keys: Sequence[str], order: Sequence[str], exclude: Sequence[str]) -> list[str]:
+    """Sort columns within a key: the order, the row hash, then all other values."""
+    return [*order, TIE, *[c for c in columns if c not in keys and c not in order and c not in exclude]]
 
 
 def _distinct_in_place(
@@ -173,34 +173,27 @@ def _distinct_in_place(
     content = [c for c in df.columns if c not in exclude]
     rest = [c for c in content if c not in keys and c not in order]
     rows = df.repartition(*keys).withColumn(TIE, _row_hash(df.columns, exclude))
-    copies = Window.partitionBy(*keys, *order, TIE, *rest).orderBy(*(exclude or [TIE]))
+    copies = Window.partitionBy(*keys, *order, TIE, *rest).orderBy(*([F.asc_nulls_last(c) for c in exclude] or [TIE]))
     return rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") == 1).drop("_copy")
 
 
-def _plain_rows(df, features, keys, order, stable, distinct, exclude):
+def _plain_rows(df, features, keys, order, distinct, exclude):
     columns = df.columns
     if distinct:
+        # Rows are sorted already, by all values after the hash; ordering by the hash keeps them so.
         df = _distinct_in_place(df, keys, order, exclude)
-    elif stable:
+        ordered = [*order, TIE]
+    else:
         df = df.withColumn(TIE, _row_hash(columns, exclude))
-    window = Window.partitionBy(*keys).orderBy(*order, *([TIE] if distinct or stable else []))
+        ordered = _in_order(columns, keys, order, exclude)
+    window = Window.partitionBy(*keys).orderBy(*ordered)
     values = _row_values(df, features, window)
     return _with_features(df, values, features, columns)
 
 
-def _plain_days(df, features, keys, order, stable, distinct, exclude):
-    columns = df.columns
-    if distinct:
-        df = dedup_rows(df, exclude)
-    window = Window.partitionBy(*keys).orderBy(F.unix_date(order[0]))
-    values = {name: feature.over_days(window) for name, feature in features.items()}
-    return _with_features(df, values, features, columns)
-
-
-def _split_days(df, features, keys, order, exclude, group_rows):
-    """Day frames need only one pre-aggregated row per key and day, however many rows a day has."""
+def _over_days(df, features, keys, day):
+    """Day frames need only one pre-aggregated row per key and day, however many rows a day or a key has."""
     columns = df.columns
-    day = order[0]
     aggregates = {name: agg for feature in features.values() for name, agg in feature.daily().items()}
     daily = df.groupBy(*keys, day).agg(*[agg.alias(name) for name, agg in aggregates.items()])
     window = Window.partitionBy(*keys).orderBy(F.unix_date(day))
@@ -225,7 +218,7 @@ def _split_rows(df, features, keys, order, exclude, group_rows):
     own = chunks.select(*cell, CHUNK, F.lit(False).alias(HALO))
     routes = own.unionByName(_halo(chunks, keys, cell, reach))
 
-    window = Window.partitionBy(*keys, CHUNK).orderBy(*order, TIE)
+    window = Window.partitionBy(*keys, CHUNK).orderBy(*_in_order(columns, keys, order, exclude))
     routed = join_same(rows, routes, cell)
     values = _row_values(routed, features, window)
     return _with_features(routed, values, features, [*columns, HALO]).filter(~F.col(HALO)).drop(HALO)

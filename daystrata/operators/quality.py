@@ -23,7 +23,7 @@ def stamp(df: DataFrame, at: str | None = None, col: str = INGEST_TS) -> DataFra
     return df.withColumn(col, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
 
 
-def require_rows(df: DataFrame, message: str = "No data found in the source") -> DataFrame:
+def require_rows(df: DataFrame, message: str = "the source holds no rows") -> DataFrame:
     """Raise ValueError if ``df`` has no rows."""
     if df.isEmpty():
         raise ValueError(message)

@@ -52,37 +52,27 @@ def build_dim_activity(df: DataFrame, sort: bool = True) -> DataFrame:
     return df.select(*columns)
 
 
+# Columns of the daily fact in their order, those of them that are rounded, and those renamed.
+FACT_COLUMNS = (
+    "user_id", "date_key", "age", "gender", "sleep_hours", "heart_rate_avg", "stress_level", "steps",
+    "exercise_minutes", "calories_burned", "weight_kg", "bmi", "height_cm", "bmr", "ra30_steps", "ra30_calories",
+    "ra30_ex_minutes", "caloric_balance", "weight_change_30d", "yesterday_stress", "yesterday_sleep", "month", "year",
+    "day", "weekday", "weekday_num", "is_weekend", "activity_level", "sleep_quality", "bmi_category", "ra30_stress",
+    "stress_change_30d",
+)
+FACT_ROUNDED = (
+    "ra30_steps", "ra30_calories", "ra30_ex_minutes", "caloric_balance", "weight_change_30d", "ra30_stress",
+    "stress_change_30d",
+)
+FACT_RENAMED = {"yesterday_stress": "lag1_stress", "yesterday_sleep": "lag1_sleep_hours"}
+
+
 def build_fact_daily(df: DataFrame) -> DataFrame:
     """Daily measures, long-term features and flags; a narrow projection of the enriched log."""
-    return df.filter(F.col("user_id").isNotNull()).select(
-        "user_id",
-        date_key("date").alias("date_key"),
-        "age",
-        "gender",
-        "sleep_hours",
-        "heart_rate_avg",
-        "stress_level",
-        "steps",
-        "exercise_minutes",
-        "calories_burned",
-        "weight_kg",
-        "bmi",
-        "height_cm",
-        "bmr",
-        *rounded(["ra30_steps", "ra30_calories", "ra30_ex_minutes", "caloric_balance", "weight_change_30d"]),
-        F.col("lag1_stress").alias("yesterday_stress"),
-        F.col("lag1_sleep_hours").alias("yesterday_sleep"),
-        "month",
-        "year",
-        "day",
-        weekday_name("date").alias("weekday"),
-        F.col("weekday_num").cast("int").alias("weekday_num"),
-        F.col("is_weekend").cast("int").alias("is_weekend"),
-        "activity_level",
-        "sleep_quality",
-        "bmi_category",
-        *rounded(["ra30_stress", "stress_change_30d"]),
-    )
+    made = {"date_key": date_key("date"), "weekday": weekday_name("date")}
+    made |= {c: F.round(c, 2) for c in FACT_ROUNDED} | {c: F.col(old) for c, old in FACT_RENAMED.items()}
+    known = df.filter(F.col("user_id").isNotNull())
+    return known.select(*[made.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS])
 
 
 def merge_outer(

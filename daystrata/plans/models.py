@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -18,7 +18,8 @@ from pyspark.storagelevel import StorageLevel
 
 from daystrata.functions.scalar import change_label
 from daystrata.operators.clean import drop_missing, fill_zero
-from daystrata.operators.evaluate import classification_metrics, date_split, hash_split, regression_metrics
+from daystrata.operators.evaluate import classification_metrics, date_split, hash_split, regression_metrics, split_point
+from daystrata.sources.files import scratch_dir
 
 LOGGER = logging.getLogger(__name__)
 
@@ -54,6 +55,21 @@ WEIGHT_FEATURES = (
 )
 
 
+# Known categories; whatever else a column holds counts as unknown.
+CATEGORIES = {"gender": ("F", "M"), "activity_level": ("sedentary", "light", "moderate", "active")}
+
+KEYS = ("user_id", "date_key")
+# Of the hash that draws the rows to fit on; another one than that of the split.
+DRAW_SEED = 7
+
+# Forests are fitted on so many partitions, dealt by key and sorted within: bags are drawn by partition and place, so
+# only then does the same data give the same trees.
+FIT_PARTITIONS = 64
+
+# Rows that forests are fitted on at most (about; drawn by a hash of the key): each keeps a copy of them.
+FIT_ROWS = 20_000_000
+
+
 def prepare_ml(df: DataFrame, drop_no_history: bool = False) -> DataFrame:
     """Model frame of the daily fact.
 
@@ -124,9 +140,16 @@ def with_targets(df: DataFrame) -> DataFrame:
     )
 
 
-def category_indexers(cols: Sequence[str] = ("gender", "activity_level")) -> Pipeline:
+def known_categories(df: DataFrame, domains: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """``df`` with values outside a column's domain as null, so that there is one bucket for the rest however dirty."""
+    domains = CATEGORIES if domains is None else domains
+    return df.withColumns({c: F.when(F.col(c).isin(*known), F.col(c)) for c, known in domains.items() if c in df.columns})
+
+
+def category_indexers(cols: Sequence[str] = tuple(CATEGORIES)) -> Pipeline:
     """Category indexes that all models share, by falling frequency; unknown and missing categories get their own."""
-    return Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cols])
+    names = [f"{c}_idx" for c in cols]
+    return Pipeline(stages=[StringIndexer(inputCols=list(cols), outputCols=names, handleInvalid="keep")])
 
 
 def label_indexer(label: str, out: str) -> StringIndexer:
@@ -161,7 +184,15 @@ def _stages(target: Target, labels: list[str] | None) -> Pipeline:
 def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | None) -> DataFrame:
     if first_test_key is not None:
         return date_split(df, first_test_key)
-    return hash_split(df, ("user_id", "date_key"), train, seed)
+    return hash_split(df, KEYS, train, seed)
+
+
+def _fitting_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
+    """``rows`` with ``_fit``: train rows, but no more than ``fit_rows`` of them (about)."""
+    is_train = F.col("split") == "train"
+    n = rows.filter(is_train).count()
+    share = min(1.0, fit_rows / max(1, n))
+    return rows.withColumn("_fit", is_train & (split_point(KEYS, DRAW_SEED) < F.lit(round(share * 2**32))))
 
 
 def train_models(
@@ -169,17 +200,19 @@ def train_models(
     targets: Sequence[Target] = TARGETS,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
     parallelism: int = 3,
+    fit_rows: int = FIT_ROWS,
 ) -> Trained:
-    """Fit all targets on the "train" rows of a model frame with targets and ``split``, and measure on the rest.
+    """Fit all targets on "train" rows of a model frame with targets and ``split``, and measure on the rest.
 
-    The indexed frame, cut down to the columns in use, is kept for the many passes of the forests; lost blocks are
-    recomputed from its source. Up to ``parallelism`` models train at a time: their jobs fill the gaps that the
-    driver work between levels leaves.
+    The indexed frame, cut down to the columns in use, is kept for the many passes of the forests, in an order that
+    follows from its content alone; lost blocks are recomputed from its source. Up to ``parallelism`` models train at
+    a time: their jobs fill the gaps that the driver work between levels leaves.
     """
-    used = {"gender", "activity_level", "split", *(c for t in targets for c in (t.label, *t.features))}
-    rows = rows.select(*[c for c in rows.columns if c in used])
-    trained = Trained(category_indexers().fit(rows.filter(F.col("split") == "train")))
-    indexed = trained.shared.transform(rows).persist(storage)
+    used = {*KEYS, *CATEGORIES, "split", *(c for t in targets for c in (t.label, *t.features))}
+    rows = _fitting_rows(known_categories(rows.select(*[c for c in rows.columns if c in used])), fit_rows)
+    trained = Trained(category_indexers().fit(rows.filter("_fit")))
+    dealt = rows.repartition(FIT_PARTITIONS, *KEYS).sortWithinPartitions(*KEYS, *sorted(set(rows.columns) - set(KEYS)))
+    indexed = trained.shared.transform(dealt).persist(storage)
 
     def fit(target: Target) -> None:
         frame, labels = indexed, None
@@ -188,7 +221,7 @@ def train_models(
             labels = label_model.labels
             frame = label_model.transform(indexed)
         # The copy leaves out the training summary, which would drag its frame and session into every task.
-        model = _stages(target, labels).fit(frame.filter(F.col("split") == "train")).copy()
+        model = _stages(target, labels).fit(frame.filter("_fit")).copy()
         trained.models[target.name] = model
         trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
         LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
@@ -213,11 +246,11 @@ def score(rows: DataFrame, trained: Trained, targets: Sequence[Target] = TARGETS
     All models score the same frame one after the other, in one narrow stage: where keys are unique this gives the
     rows of a full outer join of separate predictions without shuffling them.
     """
-    scored = trained.shared.transform(rows)
+    scored = trained.shared.transform(known_categories(rows))
     for target in targets:
         scored = trained.models[target.name].transform(scored)
     columns = [c for target in targets for c in (target.predicted_column(), target.actual_column())]
-    return scored.select("user_id", "date_key", *columns, *(["split"] if with_split else []))
+    return scored.select(*KEYS, *columns, *(["split"] if with_split else []))
 
 
 def train_and_score(
@@ -228,11 +261,15 @@ def train_and_score(
     drop_no_history: bool = False,
     with_split: bool = False,
     targets: Sequence[Target] = TARGETS,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """Train on part of the daily fact and predict for all of it.
 
-    Rows are split by a hash of their key, or with ``first_test_key`` by day.
+    Rows are split by a hash of their key, or with ``first_test_key`` by day. The model frame is written to the shared
+    scratch folder once; training and scoring read it there, so what leads up to it runs a single time.
     """
-    rows = with_targets(prepare_ml(fact, drop_no_history))
-    rows = _with_split(rows, train, seed, first_test_key)
-    return score(rows, train_models(rows, targets), targets, with_split)
+    rows = _with_split(with_targets(prepare_ml(fact, drop_no_history)), train, seed, first_test_key)
+    path = scratch_dir(fact.sparkSession)
+    rows.write.parquet(path)
+    stored = fact.sparkSession.read.schema(rows.schema).parquet(path)
+    return score(stored, train_models(stored, targets, fit_rows=fit_rows), targets, with_split)

@@ -23,7 +23,7 @@ def run_bronze(
 ) -> DataFrame:
     """CSV -> checked, stamped Parquet. Row and null counts are taken during the write, not by extra scans."""
     raw = read_daily_csv(spark, raw_path, multiline)
-    require_rows(raw, f"No data found in {raw_path}")
+    require_rows(raw, f"{raw_path} holds no rows")
     bronze = stamp(raw, ingest_ts)
     seen = Observation()
     observed = bronze.observe(seen, *[agg.alias(name) for name, agg in null_counts(bronze.columns).items()])
@@ -32,7 +32,7 @@ def run_bronze(
     LOGGER.info("bronze: %s rows", counts["rows"])
     for c in bronze.columns:
         if counts[f"null_{c}"] == counts["rows"]:
-            LOGGER.warning("column %s is completely null", c)
+            LOGGER.warning("%s: no value in any row", c)
     return read_table(spark, output_path)
 
 

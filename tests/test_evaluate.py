@@ -19,6 +19,13 @@ def test_split_does_not_depend_on_the_layout(spark):
     assert evaluate.hash_split(df, train=1.0).filter("split = 'test'").isEmpty()
 
 
+@pytest.mark.parametrize("share", [0.995, 0.004])
+def test_shares_are_not_rounded(spark, share):
+    df = spark.range(20_000).selectExpr("cast(id as int) user_id", "20240101 date_key")
+    train = evaluate.hash_split(df, train=share).filter("split = 'train'").count()
+    assert abs(train - share * 20_000) < 40
+
+
 def test_split_takes_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (1, None)], "user_id int, date_key int")
     assert {r.split for r in evaluate.hash_split(df).collect()} <= {"train", "test"}
