@@ -17,6 +17,8 @@ from daystrata.llm.words import PLAIN, WordHashes, picked
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 5, 6), (0, 1, 2, 4, 8, 9))
 WINDOW = 20
 SHARE = 0.8
+# Places of the table that is looked at before the sorted seeds; a power of two.
+FILTER = 1 << 22
 # Benchmark words that one pass over the documents looks for; a larger benchmark takes more passes.
 BLOCK_WORDS = 500_000
 
@@ -59,28 +61,40 @@ class Items:
         vars(items).update(state)
         return items
 
-    def matches(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, first word in the text, aligned words, equal words) of the best alignment of each item found."""
+    def matches(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, first word in the text, aligned words, equal words) of the best alignment of each item found.
+
+        Texts are looked through together; what seems to match across their ends fails when it is compared.
+        """
+        ends = np.cumsum([len(t) for t in texts])
+        words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
         places = set()
         for mask, seeds, items, at in self.seeds:
-            if not len(seeds):
-                continue
             own = picked(words, mask)
-            first = np.searchsorted(seeds, own)
-            hit = np.flatnonzero(seeds[np.minimum(first, len(seeds) - 1)] == own) if len(own) else own
-            for place in hit:
-                seed = first[place]
-                while seed < len(seeds) and seeds[seed] == own[place]:
-                    places.add((int(items[seed]), int(place - at[seed])))
+            if not len(seeds) or not len(own):
+                continue
+            near = np.zeros(FILTER, bool)
+            near[seeds % np.uint64(FILTER)] = True
+            hit = np.flatnonzero(near[own & np.uint64(FILTER - 1)])
+            first = np.searchsorted(seeds, own[hit])
+            same = seeds[np.minimum(first, len(seeds) - 1)] == own[hit]
+            for place, seed in zip(hit[same].tolist(), first[same].tolist()):
+                found = own[place]
+                text = int(np.searchsorted(ends, place, "right"))
+                begin = int(ends[text]) - len(texts[text])
+                while seed < len(seeds) and seeds[seed] == found:
+                    places.add((text, int(items[seed]), place - begin - int(at[seed])))
                     seed += 1
-        best: dict[int, tuple[int, int, int, int]] = {}
-        for item, start in places:
-            found = self._aligned(words, item, start)
-            if found and (item not in best or (found[3], -found[1]) > (best[item][3], -best[item][1])):
-                best[item] = found
+        best: dict[tuple[int, int], tuple[int, int, int, int, int]] = {}
+        for text, item, start in places:
+            found = self._aligned(texts[text], item, start)
+            if found:
+                old = best.get((text, item))
+                if old is None or (found[2], -found[0]) > (old[4], -old[2]):
+                    best[text, item] = (text, item, *found)
         return sorted(best.values())
 
-    def _aligned(self, words: np.ndarray, item: int, start: int) -> tuple[int, int, int, int] | None:
+    def _aligned(self, words: np.ndarray, item: int, start: int) -> tuple[int, int, int] | None:
         """The alignment that puts the item's first word at ``start``, if enough words of some window are equal."""
         own = self.words[item]
         low, high = max(0, -start), min(len(own), len(words) - start)
@@ -92,7 +106,7 @@ class Items:
         needed = window if len(own) < self.window else int(np.ceil(self.share * window - 1e-9))
         if (sums[window:] - sums[:-window]).max() < needed:
             return None
-        return item, start + low, high - low, int(sums[-1])
+        return start + low, high - low, int(sums[-1])
 
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
@@ -148,12 +162,9 @@ def _finder(held):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, word_hashes = Items.of(held.value), WordHashes(PLAIN)
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")))
-            found = [
-                (doc_id, text_hash, items.ids[item], start, n, equal)
-                for doc_id, text_hash, text in rows
-                for item, start, n, equal in items.matches(word_hashes(text))
-            ]
+            doc_ids, hashes, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))
+            matches = items.matches(word_hashes.all(texts))
+            found = [(doc_ids[i], hashes[i], items.ids[item], start, n, equal) for i, item, start, n, equal in matches]
             columns = list(zip(*found)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -29,6 +31,13 @@ class WordHashes:
     def __call__(self, text: str | None) -> np.ndarray:
         return self.hashes(self.split(text))
 
+    def all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The hashes of several texts; each distinct word is looked for once."""
+        split = [self.split(t) for t in texts]
+        if not split:
+            return []
+        return np.split(self.hashes(list(chain.from_iterable(split))), np.cumsum([len(w) for w in split])[:-1])
+
     def hashes(self, words: list[bytes]) -> np.ndarray:
         if len(self.known) > self.limit:
             self.known.clear()
