@@ -67,6 +67,10 @@ PARTS = (
 ROWS_30 = "over (partition by user_id order by date rows between 29 preceding and current row)"
 DAYS_30 = "over (partition by user_id order by date range between interval 29 days preceding and current row)"
 LAG = "over (partition by user_id order by date)"
+LAGS = (
+    f"select user_id, date, lag(weight_kg) {LAG} as weight_prev, lag(stress_level) {LAG} as lag1_stress,"
+    f" lag(sleep_hours) {LAG} as lag1_sleep_hours from clean"
+)
 
 
 def rd(value: str, digits: int = 2) -> str:
@@ -317,12 +321,8 @@ def all_oracles() -> dict[str, str]:
         "stress_change_label": over(
             "silver", f"select user_id, date, stress_change_30d, {STRESS} as stress_change_label from silver"
         ),
-        "lag_features": over(
-            "lag_features_split": over(
-            "clean",
-            f"select user_id, date, lag(weight_kg) {LAG} as weight_prev, lag(stress_level) {LAG} as lag1_stress,"
-            f" lag(sleep_hours) {LAG} as lag1_sleep_hours from clean",
-        ),
+        "lag_features": over("clean", LAGS),
+        "lag_features_split": over("clean", LAGS),
         "change_30": over("clean", _changes(30)),
         "change_7": over("clean", _changes(7)),
         "clamp_delta": over("clean", _changes(30, 5)),

@@ -191,7 +191,7 @@ def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the raw log that do not parse, after every third steps value was spoilt."""
     folder = files.scratch_dir(spark)
     raw = raw_log(spark, sf_dir)
-    spoilt = raw.withColumn("steps", F.when(F.col("steps") % 3 == 0, F.concat(F.lit("about "), "steps")).otherwise(F.col("steps")))
+    spoilt = raw.withColumn("steps", F.when(F.col("steps") % 3 == 0, F.concat(F.lit("about "), "steps")).otherwise(F.col("steps").cast("string")))
     files.write_csv(spoilt, f"{folder}/raw")
     _, bad = files.split_rejects(files.read_daily_csv(spark, f"{folder}/raw", keep_rejects=True))
     return bad.groupBy("user_id").agg(F.count(F.lit(1)).alias("rejected"))
