@@ -14,7 +14,7 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 20_250
 # Documents of one source and length that are ranked together.
-BUCKET_ROWS = 4_096
+BUCKET_ROWS = 256
 # Words that the knapsack fits; what is above goes to the longest documents left.
 KNAPSACK_WORDS = 65_536
 BROADCAST_ROWS = 200_000
