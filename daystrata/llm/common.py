@@ -21,7 +21,7 @@ def keep(df: DataFrame) -> DataFrame:
 
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df``, a kept table, marked for broadcast if it has at most ``rows`` rows; else unchanged, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def text_of(name: str = "text") -> Column:
