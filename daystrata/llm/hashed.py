@@ -82,10 +82,12 @@ def matched(name: str, buckets: np.ndarray) -> Column:
 
 
 def row_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` from each start to the next; rows may have no values."""
-    sums = np.concatenate((np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)))
-    ends = np.concatenate((starts[1:], [len(values)]))
-    return sums[ends] - sums[starts]
+    """Sums of the rows of ``values`` from each start to the next, each for itself; rows may have no values."""
+    result = np.zeros((len(starts), *values.shape[1:]))
+    some = np.diff(np.concatenate((starts, [len(values)]))) > 0
+    if some.any():
+        result[some] = np.add.reduceat(values, starts[some], axis=0)
+    return result
 
 
 class Adam:

@@ -202,8 +202,8 @@ def test_token_counts_of_odd_rows(odd, nothing):
 
 def test_licenses_of_odd_rows(odd, nothing):
     found = {(r["doc_id"], r["n_words"]): r for r in license_scan.scan_licenses(odd).collect()}
-    assert found[(9, 16)]["labels"] == "apache-2" and found[(9, 16)]["first_word"] == 3
-    assert found[(None, 12)]["base_labels"] == "mit" and found[(1, 0)]["labels"] == ""
+    assert found[(9, 18)]["labels"] == "apache-2" and found[(9, 18)]["first_word"] == 3
+    assert found[(None, 14)]["base_labels"] == "mit" and found[(1, 0)]["labels"] == ""
     assert license_scan.scan_licenses(odd).count() == len(ROWS)
     assert license_scan.scan_licenses(nothing).count() == 0
 
