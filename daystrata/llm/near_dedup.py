@@ -37,8 +37,8 @@ class Signer:
     words: int = SHINGLE_WORDS
     bands: int = 40
     rows: int = 5
-    bins: int = 4096
-    bits: int = 2048
+    bins: int = 65_536
+    bits: int = 4_096
     seed: int = 7
 
     def __post_init__(self):
@@ -216,16 +216,19 @@ class NearDuplicates:
         links = self.confirmed(self.alike(stars))
         found = components(links)
         open_ = self.open_bands(members, found)
+        left, before = open_.count(), None
         for _ in range(PIVOTS):
-            if open_.isEmpty():
-                return links, found
+            # A round that closes less than a tenth of what is open is not worth another one.
+            if not left or (before is not None and left > 0.9 * before):
+                break
             more = self.confirmed(self.alike(self.pivoted(open_, links)))
             if more.isEmpty():
                 break
             links = keep(links.unionByName(more).distinct())
             found = components(links)
             open_ = self.open_bands(members, found)
-        if open_.isEmpty():
+            left, before = open_.count(), left
+        if not left:
             return links, found
         more = self.confirmed(keep(self.across(open_)))
         links = keep(links.unionByName(more).distinct())
@@ -253,8 +256,13 @@ class NearDuplicates:
             & (F.col("left") != F.col("head"))
             & (F.col("right") != F.col("head"))
         )
-        few, every = few.join(self.sketched("left"), "left"), every.join(self.sketched("right"), "right")
-        pairs = few.join(every, (F.col("few_key") == F.col("key")) & untried & self.close())
+        few = few.join(self.sketched("left"), "left").join(self.sets.select(F.col("rep").alias("left"), F.col("keys").alias("left_keys")), "left")
+        every = every.join(self.sketched("right"), "right").join(
+            self.sets.select(F.col("rep").alias("right"), F.col("keys").alias("right_keys")), "right"
+        )
+        # A pair that shares several bands is passed on in one of them only.
+        once = F.array_min(F.array_intersect("left_keys", "right_keys")) == F.col("key")
+        pairs = few.join(every, (F.col("few_key") == F.col("key")) & untried & self.close() & once)
         return pairs.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
 
 
