@@ -64,7 +64,7 @@ DRAW_SEED = 7
 
 # Forests are fitted on so many partitions, dealt by key and sorted within: bags are drawn by partition and place, so
 # only then does the same data give the same trees.
-FIT_PARTITIONS = 64
+FIT_PARTITIONS = 16
 
 # Rows that forests are fitted on at most (about; drawn by a hash of the key): each keeps a copy of them.
 FIT_ROWS = 20_000_000
