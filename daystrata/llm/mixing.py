@@ -56,7 +56,7 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
 
 
 def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsack_words: int = KNAPSACK_WORDS) -> list[int]:
-    """How many of the ``counts`` documents of each size to take so that their words come as close under ``budget`` as can be.
+    """How many of the ``counts`` documents of each size to take so that their words come as close to ``budget`` as can be.
 
     Each size first gives its proportional share, rounded down; long sizes then give one more and so on until no more
     than ``knapsack_words`` are left, and a bounded knapsack over the documents left fits those.
@@ -76,12 +76,13 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsac
             taken[i] += more
             rest -= more * sizes[i]
     # Bit w of ``reach`` says that w words can be had; one number per size is kept to go back.
-    usable = [i for i in sorted(range(len(sizes)), key=lambda i: sizes[i]) if 0 < sizes[i] <= rest and counts[i] > taken[i]]
-    within = (1 << (rest + 1)) - 1
+    # Sums over twice the rest are farther from it than none at all.
+    usable = [i for i in sorted(range(len(sizes)), key=lambda i: sizes[i]) if 0 < sizes[i] <= 2 * rest and counts[i] > taken[i]]
+    within = (1 << (2 * rest + 1)) - 1
     reach, steps = 1, []
     for i in usable:
         steps.append((i, reach))
-        left, part = min(counts[i] - taken[i], rest // sizes[i]), 1
+        left, part = min(counts[i] - taken[i], 2 * rest // sizes[i]), 1
         while left > 0:
             now = min(part, left)
             reach |= (reach << (now * sizes[i])) & within
@@ -89,7 +90,11 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsac
             part *= 2
         if reach >> rest & 1:
             break
-    goal = reach.bit_length() - 1
+    goal = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = reach >> (rest + 1)
+    if above:
+        over = rest + (above & -above).bit_length()
+        goal = over if over - rest < rest - goal else goal
     for i, earlier in reversed(steps):
         while not earlier >> goal & 1:
             goal -= sizes[i]

@@ -346,10 +346,9 @@ def test_knapsack_is_the_best_subset():
         budget = int(random.integers(0, total + 1))
         taken = mixing.fit_counts(sizes, counts, budget)
         least = [n * budget // total for n in counts]
-        best = max(
-            w
-            for choice in itertools.product(*(range(low, n + 1) for low, n in zip(least, counts)))
-            if (w := sum(s * c for s, c in zip(sizes, choice))) <= budget
+        best = min(
+            (sum(s * c for s, c in zip(sizes, choice)) for choice in itertools.product(*(range(low, n + 1) for low, n in zip(least, counts)))),
+            key=lambda w: (abs(w - budget), w),
         )
         assert sum(s * t for s, t in zip(sizes, taken)) == best
         assert all(0 <= t <= n for t, n in zip(taken, counts))
@@ -388,7 +387,8 @@ def test_mixing(docs, bucket_rows):
     for r in rows:
         assert r["target"] == pytest.approx(expected[r["source"]]) and r["source_size"] == totals[r["source"]]
     for source in totals:
-        assert abs(taken[source] - expected[source]) <= 20
+        own = [r["size"] for r in rows if r["source"] == source]
+        assert abs(taken[source] - expected[source]) <= (20 if len(own) > 9 else max(own) / 2)
 
 
 def test_mixing_of_odd_rows(odd, nothing):
