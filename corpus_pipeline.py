@@ -43,8 +43,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any item of the benchmark."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents without any item of the benchmark, whether or not the item has an id."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = find_leaks(docs, benchmark.withColumn("item_id", F.coalesce(F.col("item_id").cast("long"), F.xxhash64("text"))))
     leaks = leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     return docs.join(small(keep(leaks), LISTED_ROWS), _met(_id="doc_id", _hash=F.xxhash64(text_of())), "left_anti")
 

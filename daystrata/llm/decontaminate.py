@@ -15,6 +15,14 @@ from daystrata.llm.words import PLAIN, WordHashes, picked
 # Places that a mask looks at. Of any 20 aligned words of which at least 16 are equal, one of the masks finds some
 # place where all of its words are (a test tries every pattern).
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 5, 6), (0, 1, 2, 4, 8, 9))
+# The same for shorter items: (words, unequal words, masks) of which one is always whole, also in longer runs and with
+# fewer unequal words.
+FAMILIES = (
+    (20, 4, MASKS),
+    (15, 3, ((0, 1, 2, 4, 5), (0, 1, 3, 7, 8))),
+    (10, 2, ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4))),
+    (5, 1, ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))),
+)
 WINDOW = 20
 SHARE = 0.8
 # Places of the table that is looked at before the sorted seeds; a power of two.
@@ -23,27 +31,36 @@ FILTER = 1 << 22
 BLOCK_WORDS = 500_000
 
 
+def least_equal(length: int, share: float) -> int:
+    """How many of ``length`` words have to be equal."""
+    return max(1, int(np.ceil(share * length - 1e-9)))
+
+
+def masks_for(length: int, unequal: int) -> tuple[tuple[int, ...], ...]:
+    """Masks of which one is whole somewhere in ``length`` words whichever ``unequal`` of them differ."""
+    for words, most, masks in FAMILIES:
+        if length >= words and unequal <= most:
+            return masks
+    # Some run between the unequal words is as long as this.
+    return (tuple(range(max(1, length // (unequal + 1)))),)
+
+
 class Items:
     """Benchmark items with the hashes of their seeds."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, share: float = SHARE, masks=MASKS):
+    def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, share: float = SHARE):
         self.window, self.share = window, share
         word_hashes = WordHashes(PLAIN)
         self.ids = [i for i, _ in items]
         self.words = [word_hashes(text) for _, text in items]
-        span = max(m[-1] for m in masks) + 1
-        # Items shorter than a window must match as a whole; a run of their length finds them.
-        short = {len(w) for w in self.words if 0 < len(w) < max(span, window)}
-        self.masks = [*masks, *(tuple(range(n)) for n in sorted(short))]
+        looked_for: dict[tuple[int, ...], list[int]] = {}
+        for item, words in enumerate(self.words):
+            length = min(window, len(words))
+            for mask in masks_for(length, length - least_equal(length, share)) if length else ():
+                looked_for.setdefault(mask, []).append(item)
         self.seeds = []
-        for number, mask in enumerate(self.masks):
-            whole = number >= len(masks)
-            found = [
-                (seed, item, place)
-                for item, words in enumerate(self.words)
-                if (len(words) == len(mask) if whole else len(words) >= window)
-                for place, seed in enumerate(picked(words, mask))
-            ]
+        for mask, having in looked_for.items():
+            found = [(seed, item, place) for item in having for place, seed in enumerate(picked(self.words[item], mask))]
             found.sort()
             self.seeds.append(
                 (
@@ -98,13 +115,13 @@ class Items:
         """The alignment that puts the item's first word at ``start``, if enough words of some window are equal."""
         own = self.words[item]
         low, high = max(0, -start), min(len(own), len(words) - start)
-        window = min(self.window, len(own))
-        if high - low < window:
+        if high - low < self.window <= len(own):
             return None
         equal = own[low:high] == words[start + low : start + high]
         sums = np.concatenate(([0], np.cumsum(equal)))
-        needed = window if len(own) < self.window else int(np.ceil(self.share * window - 1e-9))
-        if (sums[window:] - sums[:-window]).max() < needed:
+        # Words of a short item beyond the ends of the text are unequal.
+        window = min(self.window, high - low)
+        if (sums[window:] - sums[:-window]).max() < least_equal(min(self.window, len(own)), self.share):
             return None
         return start + low, high - low, int(sums[-1])
 
@@ -134,8 +151,10 @@ def find_leaks(
     """(doc_id, text_hash, item_id, start_word, n_words, n_equal, share) of every document that holds an item.
 
     A document holds an item if, with the item laid on it somewhere, ``window`` consecutive words of the item meet as
-    many words of the document of which at least ``share`` are equal; an item shorter than a window must be there as
-    it is. Words are letters and digits, capitals A-Z folded. Of several places, the one with most equal words counts.
+    many words of the document of which at least ``share`` are equal. Of an item shorter than a window, at least
+    ``share`` of its words must be equal, those beyond an end of the document counting as unequal; at 0.8, items under
+    five words must be there as they are. Words are letters and digits, capitals A-Z folded. Of several places, the one
+    with most equal words counts.
 
     Each block of the benchmark is one pass over the documents without a shuffle: the block's seeds go to the tasks.
     Null and empty texts hold nothing; items that are null, without words or without id are never found. Equal rows

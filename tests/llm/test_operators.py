@@ -239,6 +239,54 @@ def test_masks_find_every_pattern():
         )
 
 
+@pytest.mark.parametrize("length", range(1, 20))
+def test_masks_of_short_items_find_every_pattern(length):
+    unequal = length - decontaminate.least_equal(length, decontaminate.SHARE)
+    masks = decontaminate.masks_for(length, unequal)
+    for missing in itertools.combinations(range(length), unequal):
+        assert any(all(p + at not in missing for at in mask) for mask in masks for p in range(length - mask[-1]))
+
+
+def test_leaks_of_short_items(spark):
+    item = [f"b{i}" for i in range(15)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "c0 c1 c2 c3 c4 c5 c6 c7 c8 c9")], "item_id long, text string")
+
+    def changed(*places):
+        return "x y " + " ".join("z" if i in places else w for i, w in enumerate(item)) + " v w"
+
+    docs = {
+        1: changed(7),
+        2: changed(4, 9),
+        3: changed(3, 7, 11),
+        4: changed(0, 7, 14),
+        5: changed(2, 5, 8, 11),
+        6: "x " + " ".join(item[:13]),  # clipped at the end of the document
+        7: " ".join(item[3:]) + " y",  # and at its beginning
+        8: " ".join(item[4:]) + " y",
+        9: "x c0 z c2 c3 c4 c5 c6 z c8 c9 y",
+        10: "x c0 z c2 z c4 c5 c6 z c8 c9 y",
+    }
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["n_words"], r["n_equal"]) for r in decontaminate.find_leaks(frame, bench).collect()}
+    assert found == {(1, 1, 15, 14), (2, 1, 15, 13), (3, 1, 15, 12), (4, 1, 15, 12), (6, 1, 13, 13), (7, 1, 12, 12), (9, 2, 10, 8)}
+
+
+def test_every_pattern_of_a_short_item_is_found():
+    item = [f"b{i}" for i in range(15)]
+    items = decontaminate.Items([(1, " ".join(item))])
+    hashes = decontaminate.WordHashes(decontaminate.PLAIN)
+    for count in (1, 2, 3):
+        places = list(itertools.combinations(range(15), count))
+        texts = [" ".join("z" if i in missing else w for i, w in enumerate(item)) for missing in places]
+        assert [m[0] for m in items.matches(hashes.all(texts))] == list(range(len(places)))
+
+
+def test_pipeline_drops_leaks_of_items_without_id(spark, tmp_path):
+    spark.createDataFrame([(None, "an item that has no id"), (1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "here an item that has no id stands"), (2, "nothing here")], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_leaks(spark):
     item = [f"b{i}" for i in range(40)]
     changed = ["z" if i in (3, 8, 13, 18) else w for i, w in enumerate(item[:20])]
