@@ -31,6 +31,8 @@ TEMPLATES = (
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 CONTAINMENT = 0.8
+# Over a line break, a template is looked for in stretches of so many times its words: real headers have words between.
+SPAN = 2
 
 # A word: ASCII letters and digits and whatever is not ASCII. Case is folded for A-Z only.
 LETTER = r"0-9A-Za-z\x{80}-\x{10FFFF}"
@@ -40,8 +42,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(text: Column) -> Column:
-    """Distinct lower-case words."""
-    return F.array_distinct(F.array_remove(F.split(F.translate(text, UPPER, LOWER), BREAKS), ""))
+    """Lower-case words in their order."""
+    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), BREAKS), "")
+
+
+def span_of(text: str) -> int:
+    """Words of a stretch in which a template is looked for."""
+    return SPAN * len(re.findall("[0-9a-z]+", text.lower()))
 
 
 def template_words(text: str) -> list[str]:
@@ -77,13 +84,13 @@ def phrase_places(rows: DataFrame, phrases: Mapping[str, str] = PHRASES, text: s
 
 
 def prefix_index(rows: DataFrame, templates, containment: float, text: str = "text") -> DataFrame:
-    """(word, label, words, least, place): the words by which a block can come to hold enough of a template.
+    """(word, label, words, least, place, span): the words by which a block can come to hold enough of a template.
 
     Words are ordered by how many texts of the whole corpus hold them, rarest first. A block with ``least`` of the t
     words has one of the first t - least + 1, so only those are indexed. The index is as large as the templates.
     """
-    sets = [(label, template_words(t)) for label, t in templates]
-    known = sorted({w for _, words in sets for w in words})
+    sets = [(label, template_words(t), span_of(t)) for label, t in templates]
+    known = sorted({w for _, words, _ in sets for w in words})
     counted = (
         rows.select(F.explode(F.array_intersect(F.split(F.lower(text), BREAKS), F.array(*map(F.lit, known)))).alias("word"))
         .groupBy("word")
@@ -91,34 +98,50 @@ def prefix_index(rows: DataFrame, templates, containment: float, text: str = "te
     )
     often = {r["word"]: r["count"] for r in counted.collect()}  # at most one row per template word
     index = []
-    for label, words in sets:
+    for label, words, span in sets:
         ordered = sorted(words, key=lambda w: (often.get(w, 0), w))
         least = max(1, math.ceil(containment * len(ordered) - 1e-9))
-        index += [(w, label, ordered, least, i) for i, w in enumerate(ordered[: len(ordered) - least + 1])]
-    schema = "word string, label string, words array<string>, least int, place int"
+        index += [(w, label, ordered, least, i, span) for i, w in enumerate(ordered[: len(ordered) - least + 1])]
+    schema = "word string, label string, words array<string>, least int, place int, span int"
     return rows.sparkSession.createDataFrame(index, schema)
 
 
 def containing_blocks(rows: DataFrame, index: DataFrame, text: str = "text") -> DataFrame:
-    """(key, label, containment) for every block (line) of ``rows`` (key, text) that meets a template's threshold.
+    """(key, label, containment) for every block of ``rows`` (key, text) that meets a template's threshold.
 
-    Blocks meet templates in a join on the prefix words. Of the pairs met, those stay whose block is long enough and
-    whose remaining words after the first common one can still reach the threshold; then all words are compared.
+    A block is a line, or a stretch of ``span`` words wherever it begins, so that a template wrapped over lines is met
+    as well. The stretches of a text of several lines come in pieces of twice the longest span, which overlap by it.
+
+    Lines and pieces meet templates in a join on the prefix words. Of the pairs met, those stay whose block is long
+    enough and whose remaining words after the first common one can still reach the threshold; then all words are
+    compared, and those of each stretch where a piece has enough of them.
     """
     first = [r["word"] for r in index.select("word").distinct().collect()]
     starts = F.array(*map(F.lit, first))
-    lines = (
+    longest = index.agg(F.max("span")).first()[0] or 1
+    n = F.size("sequence")
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.ceil(n / longest).cast("int") - 2, F.lit(0))),
+        lambda i: F.struct(F.slice("sequence", i * longest + 1, 2 * longest).alias("run"), F.lit(False).alias("line")),
+    )
+    lines = F.transform("lines", lambda words: F.struct(words.alias("run"), F.lit(True).alias("line")))
+    blocks = (
         rows.filter(F.arrays_overlap(F.split(F.lower(text), BREAKS), starts))
-        .select("key", F.explode(F.split(text, "\n")).alias("line"))
-        .select("key", words_of(F.col("line")).alias("have"))
+        .select("key", F.transform(F.split(text, "\n"), words_of).alias("lines"))
+        .select("key", "lines", F.flatten("lines").alias("sequence"))
+        .select("key", F.explode(F.when(F.size("lines") > 1, F.concat(lines, pieces)).otherwise(lines)).alias("block"))
+        .select("key", "block.run", "block.line", F.array_distinct("block.run").alias("have"))
     )
     met = (
-        lines.withColumn("word", F.explode(F.array_intersect("have", starts)))
+        blocks.withColumn("word", F.explode(F.array_intersect("have", starts)))
         .join(F.broadcast(index), "word")
         .filter((F.size("have") >= F.col("least")) & (F.size("words") - F.col("place") >= F.col("least")))
     )
-    common = F.size(F.array_intersect("words", "have"))
-    return met.withColumn("common", common).filter("common >= least").select(
+    shared = lambda words: F.size(F.array_intersect("words", words))
+    stretches = F.sequence(F.lit(1), F.greatest(F.size("run") - F.col("span") + 1, F.lit(1)))
+    closest = F.array_max(F.transform(stretches, lambda i: shared(F.slice("run", i, F.col("span")))))
+    common = F.when(F.col("line") | (F.col("in_block") < F.col("least")), F.col("in_block")).otherwise(closest)
+    return met.withColumn("in_block", shared(F.col("have"))).withColumn("common", common).filter("common >= least").select(
         "key", "label", (F.col("common") / F.size("words")).alias("containment")
     )
 
@@ -133,8 +156,9 @@ def scan_licenses(
 ) -> DataFrame:
     """Per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    ``labels`` adds to those of the phrases the labels of every template that some line holds enough of (``score`` is
-    the largest share of a template's words in a line, 1.0 where a phrase stands, 0.0 without any finding).
+    ``labels`` adds to those of the phrases the labels of every template that some line holds enough of, or some run of
+    words, over line breaks, twice as long as the template (``score`` is the largest share of a template's words in
+    one, 1.0 where a phrase stands, 0.0 without any finding).
     Null and empty texts have no words and no labels. Repeated rows get the same answer; ids may be null or repeat,
     as findings go back to rows by id and text hash. An empty table gives an empty result.
     """

@@ -215,6 +215,45 @@ def test_license_blocks(spark):
     assert 0.8 <= found[0]["score"] < 1
 
 
+GPL = """\
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or"""
+MPL = """\
+# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this"""
+BSD = """\
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions"""
+
+
+def test_licenses_wrapped_over_lines(spark):
+    scattered = "\n".join(f"{word} " + "x " * 10 for _, t in license_scan.TEMPLATES for word in t.split())
+    texts = {
+        1: GPL,
+        2: "before\n" * 500 + MPL + "\nafter" * 500,
+        3: "x\n\n" + BSD.replace("\n", "\r\n"),
+        4: scattered,
+        5: "x y\n" * 33 + GPL + "\n" + BSD,
+    }
+    found = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {i: r["labels"] for i, r in found.items()} == {1: "gpl-3", 2: "mpl-2", 3: "bsd", 4: "", 5: "bsd,gpl-3"}
+    assert [found[i]["score"] for i in (1, 2, 3, 4)] == [1.0, 1.0, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("width", [1, 4])
+def test_wrapped_templates_are_found_wherever_they_begin(spark, width):
+    rows, labels = [], {}
+    for label, template in license_scan.TEMPLATES:
+        words = template.split()
+        wrapped = "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+        for before in (0, 1, 17, 35, 36, 37, 71, 72, 73, 100):
+            labels[len(rows)] = label
+            rows.append((len(rows), "x\n" * before + wrapped + "\nx" * 50))
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(labels[r["doc_id"]] in r["labels"].split(",") and r["score"] == 1.0 for r in found) and len(found) == len(rows)
+
+
 def test_spans(spark):
     text = "iban GB82 WEST 1234 5698 7654 32 é card 4111 1111 1111 1111, a@b.c_d@e.f 1.2.3.4.5 999.1.1.1 4111 1111 1111 1112"
     found = pii.pii_digest(pii.pii_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
