@@ -30,10 +30,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest id stays."""
-    copies = exact_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"))
-    copies = small(keep(copies), LISTED_ROWS)
-    return docs.join(copies, _met(_id="doc_id", _sha256=F.sha2(text_of(), 256)), "left_anti")
+    """Of documents with equal texts, one row stays: of those with the largest id, the least by all columns.
+
+    Rows whose texts and ids are both equal, or both without id, are rare; only those are aggregated with their texts.
+    """
+    repeated = exact_dedup(docs).filter("group_size > 1")
+    repeated = keep(repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"), "kept"))
+    met = _met(_id="doc_id", _sha256=F.sha2(text_of(), 256))
+    rest = docs.join(small(repeated.filter(~F.col("kept")).drop("kept"), LISTED_ROWS), met, "left_anti")
+    tied = keep(repeated.filter("kept").groupBy("_id", "_sha256").count().filter("count > 1").drop("count"))
+    if tied.isEmpty():
+        return rest
+    tied = small(tied, LISTED_ROWS)
+    least = rest.join(tied, met).groupBy("_id", "_sha256").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return rest.join(tied, met, "left_anti").unionByName(least.select("row.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -533,3 +533,19 @@ def test_pipeline_stages_of_odd_rows(spark, odd, nothing):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, "/root/testdata/sf0.001")
         assert {*frame.columns} <= {*now.columns} and now.count() <= frame.count()
+
+
+def test_pipeline_keeps_one_row_of_equal_texts(spark):
+    rows = [
+        *[(None, PASSAGE, source) for source in ("b", "a", None, "a")],
+        *[(8, "twice under one id", "c")] * 2,
+        (7, "twice under one id", "c"),
+        (7, "another text under an id", "c"),
+        (None, "also without id", "d"),
+        *[(9, text, "e") for text in (None, "")],
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = corpus_pipeline.drop_copies(spark, docs, "")
+    assert found.columns == docs.columns
+    expected = [(None, PASSAGE, None), (8, "twice under one id", "c"), (7, "another text under an id", "c"), (None, "also without id", "d"), (9, None, "e")]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
