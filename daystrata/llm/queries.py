@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import decontaminate, exact_dedup, license_scan, mixing, near_dedup, pii, quality, substring_dedup, token_counts, toxicity
+from daystrata.llm import (
+    alignment,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    word_bpe,
+)
 from daystrata.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +71,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.pii_spans(documents(spark, sf_dir)))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.link_digest(documents(spark, sf_dir), *paths)
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.digests(word_bpe.encode_texts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -70,4 +92,6 @@ def all_queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_mixing": op9_mixing,
         "op10_pii": op10_pii,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_word_bpe": op12_word_bpe,
     }
