@@ -17,6 +17,7 @@ from daystrata.llm import (
     near_dedup,
     pii,
     quality,
+    ranked_search,
     substring_dedup,
     token_counts,
     toxicity,
@@ -80,6 +81,10 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digests(word_bpe.encode_texts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -94,4 +99,5 @@ def all_queries() -> dict[str, Query]:
         "op10_pii": op10_pii,
         "op11_token_alignment": op11_token_alignment,
         "op12_word_bpe": op12_word_bpe,
+        "op13_ranked_search": op13_ranked_search,
     }

@@ -207,6 +207,29 @@ from docs left join removed using (row_no) left join kept using (row_no)
 """
 
 
+def ranked_search_sql(top: int = 20) -> str:
+    words = lambda: f"regexp_extract_all({_lower("coalesce(text, '')")}, '{PLAIN_WORD}')"
+    return f"""
+with docs as (select row_number() over () as row_no, doc_id, {words()} as w from documents),
+stats as (select (count(*) filter (len(w) > 0))::bigint as n_docs, sum(len(w))::bigint as n_terms from docs),
+counted as (
+  select row_no, doc_id, n, term, count(*) as tf
+  from (select row_no, doc_id, len(w)::bigint as n, unnest(w) as term from docs) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight from counted, stats group by term, n_docs),
+asked as (
+  select item_no, item_id, term, count(*) as times
+  from (select row_number() over () as item_no, item_id, unnest({words()}) as term from benchmark) group by all),
+scored as (
+  select item_no, item_id, row_no, doc_id,
+    sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::bigint as score
+  from asked join counted using (term) join weights using (term), stats
+  group by item_no, item_id, row_no, doc_id),
+ranked as (select *, row_number() over (partition by item_no order by score desc, doc_id nulls last) as rank from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= {top}
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_near_dedup": near_dedup_sql(),
@@ -215,4 +238,5 @@ def all_sql() -> dict[str, str]:
         "op6_substring_dedup": substring_dedup_sql(),
         "op7_exact_dedup": EXACT_DEDUP,
         "op10_pii": pii_sql(),
+        "op13_ranked_search": ranked_search_sql(),
     }
