@@ -231,6 +231,12 @@ SILVER_SHOWN = (
 )
 
 
+DIM_USER = (
+    "select user_id, age, gender, "
+    + ", ".join(f"{rd(f'avg({c})')} as avg_{c}" for c in ("height_cm", "weight_kg", "bmi", "bmr"))
+    + " from silver group by user_id, age, gender"
+)
+DIM_DATE = f"select distinct {DATE_KEY} as date_key, date, day, month, year, weekday from silver"
 LABELED = f"select {STRESS.replace('stress_change_30d', 'coalesce(stress_change_30d, 0)')} as label from fact_daily"
 
 
@@ -333,16 +339,8 @@ def all_oracles() -> dict[str, str]:
         "rolling_avg_30_days_split": over("clean", _means(DAYS_30)),
         "silver": over("silver", SILVER_SHOWN),
         "silver_split": over("silver", SILVER_SHOWN),
-        "dim_user": over(
-            "silver",
-            "select user_id, age, gender, "
-            + ", ".join(f"{rd(f'avg({c})')} as avg_{c}" for c in ("height_cm", "weight_kg", "bmi", "bmr"))
-            + " from silver group by user_id, age, gender",
-        ),
-        "dim_date": over(
-            "silver",
-            f"select distinct {DATE_KEY} as date_key, date, day, month, year, weekday from silver",
-        ),
+        "dim_user": over("silver", DIM_USER),
+        "dim_date": over("silver", DIM_DATE),
         "dim_activity": over(
             "silver",
             "select user_id, date, steps, exercise_minutes, calories_burned, activity_level, sleep_quality from silver",
@@ -358,6 +356,10 @@ def all_oracles() -> dict[str, str]:
         "clean_csv": over("raw_clean", "select * from raw_clean"),
         "stream_bronze": over("raw_log", "select * from raw_log"),
         "stream_silver": over("silver", SILVER_SHOWN),
+        "append_silver": over("silver", SILVER_SHOWN),
+        "append_fact_daily": over("fact_daily", "select * from fact_daily"),
+        "append_dim_user": over("silver", DIM_USER),
+        "append_dim_date": over("silver", DIM_DATE),
         "ml_drop_missing": over(
             "fact_daily", f"select user_id, date_key, {', '.join(REQUIRED)} from fact_daily where {required}"
         ),

@@ -24,7 +24,7 @@ from daystrata.schema import (
 )
 from daystrata.sources import files
 from daystrata.sources.fixtures import daily_log, raw_log
-from daystrata.streaming import incremental
+from daystrata.streaming import gold, incremental, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,6 +234,43 @@ def _stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(files.read_table(spark, silver).drop(INGEST_TS, incremental.BUCKET))
 
 
+def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Three arrivals in the order of days, but for a fifth of the users, whose first days come last; (silver, gold)."""
+    folder = files.scratch_dir(spark)
+    raw = raw_log(spark, sf_dir)
+    late = (F.col("user_id") % 5 == 1) & (F.col("date") < "1995-10-01")
+    arrival = F.when(late, 2).when(F.col("date") < "1997-04-01", 0).when(F.col("date") < "1999-07-01", 1).otherwise(2)
+    silver, gold_path = f"{folder}/silver", f"{folder}/gold"
+    for part in (0, 1, 2):
+        files.write_csv(raw.filter(arrival == part), f"{folder}/raw/arrival-{part}")
+        incremental.ingest_new_files(spark, f"{folder}/raw/*", f"{folder}/bronze", f"{folder}/ingest", multiline=False)
+        keyed.append_silver(
+            spark,
+            f"{folder}/bronze",
+            silver,
+            f"{folder}/append",
+            after=lambda session, batch: gold.apply_batch(session, silver, gold_path, batch),
+        )
+    return silver, gold_path
+
+
+def _append_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver, _ = _arrivals(spark, sf_dir)
+    return _shown(keyed.current_silver(spark, silver).drop(INGEST_TS, incremental.BUCKET, keyed.BATCH))
+
+
+def _append_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(gold.fact_daily(spark, _arrivals(spark, sf_dir)[0]), ["height_cm", "bmr"])
+
+
+def _append_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.dim_user(spark, _arrivals(spark, sf_dir)[1])
+
+
+def _append_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.dim_date(spark, _arrivals(spark, sf_dir)[1])
+
+
 def all_queries() -> dict[str, Query]:
     lags = {"weight_prev": ("weight_kg", 1), "lag1_stress": ("stress_level", 1), "lag1_sleep_hours": ("sleep_hours", 1)}
     change_30 = {"weight_change_30d": "weight_kg", "stress_change_30d": "stress_level"}
@@ -322,6 +359,10 @@ def all_queries() -> dict[str, Query]:
         "silver_csv": _silver_csv,
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,
+        "append_silver": _append_silver,
+        "append_fact_daily": _append_fact,
+        "append_dim_user": _append_dim_user,
+        "append_dim_date": _append_dim_date,
         # models
         "ml_drop_missing": _on(
             fact_frame,

@@ -150,7 +150,7 @@ def _with_features(df: DataFrame, values: dict[str, Column], features: Features,
     return windowed.select(*keep, *done)
 
 
-def _row_hash(columns: Sequence[str], exclude: Sequence[str]) -> Column:
+def row_hash(columns: Sequence[str], exclude: Sequence[str]) -> Column:
     """Hash of the values and of which of them are null; the hash of the values alone passes nulls over."""
     content = [c for c in columns if c not in exclude]
     return F.xxhash64(*content, *[F.col(c).isNull() for c in content])
@@ -172,7 +172,7 @@ def _distinct_in_place(
     exclude = [c for c in exclude if c in df.columns]
     content = [c for c in df.columns if c not in exclude]
     rest = [c for c in content if c not in keys and c not in order]
-    rows = df.repartition(*keys).withColumn(TIE, _row_hash(df.columns, exclude))
+    rows = df.repartition(*keys).withColumn(TIE, row_hash(df.columns, exclude))
     copies = Window.partitionBy(*keys, *order, TIE, *rest).orderBy(*([F.asc_nulls_last(c) for c in exclude] or [TIE]))
     return rows.withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") == 1).drop("_copy")
 
@@ -184,7 +184,7 @@ def _plain_rows(df, features, keys, order, distinct, exclude):
         df = _distinct_in_place(df, keys, order, exclude)
         ordered = [*order, TIE]
     else:
-        df = df.withColumn(TIE, _row_hash(columns, exclude))
+        df = df.withColumn(TIE, row_hash(columns, exclude))
         ordered = _in_order(columns, keys, order, exclude)
     window = Window.partitionBy(*keys).orderBy(*ordered)
     values = _row_values(df, features, window)
@@ -210,7 +210,7 @@ def _split_rows(df, features, keys, order, exclude, group_rows):
     columns = df.columns
     reach = max(feature.reach for feature in features.values())
     # The leading bits of the hash, sign included, so that slices follow the order of the hash.
-    rows = df.withColumn(TIE, _row_hash(columns, exclude))
+    rows = df.withColumn(TIE, row_hash(columns, exclude))
     rows = rows.withColumn(SLICE, F.shiftright(TIE, 64 - SLICE_BITS).cast("int"))
 
     cell = [*keys, *order, SLICE]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,11 @@ def build_silver(
         group_rows=group_rows,
         sized_by=df.filter(F.col("user_id").isNotNull()),
     )
+    return derived_columns(rows, df.columns)
+
+
+def derived_columns(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with history features get labels, calendar parts and body metrics; ``columns`` come first."""
     height = height_m("weight_kg", "bmi")
     rate = basal_rate("weight_kg", "height_cm", "age", "gender")
     rows = rows.withColumns({"height_m": height, "height_cm": height * 100}).withColumn("bmr", rate)
@@ -74,11 +81,10 @@ def build_silver(
         | calendar_parts("date")
         | {"caloric_balance": F.col("calories_burned") - F.col("bmr")}
     )
-    history_names = list(history_features())
     order = [
-        *df.columns,
+        *columns,
         *[name for name in derived if name != "caloric_balance"],
-        *history_names,
+        *history_features(),
         "height_m",
         "height_cm",
         "bmr",

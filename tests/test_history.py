@@ -168,7 +168,7 @@ def test_many_rows_on_one_day_of_one_user(frame, days):
     assert plain.count() == len(rows)
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
     chunks = h._chunks(
-        df.filter("user_id = 1").withColumn(h.TIE, h._row_hash(df.columns, [])).withColumn(
+        df.filter("user_id = 1").withColumn(h.TIE, h.row_hash(df.columns, [])).withColumn(
             h.SLICE, F.shiftright(h.TIE, 64 - h.SLICE_BITS).cast("int")
         ),
         ["user_id"], ["date"], 100,
