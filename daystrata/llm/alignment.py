@@ -8,6 +8,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,12 +26,16 @@ from daystrata.llm.word_bpe import byte_letters
 PACK_BYTES = 4 << 20
 PACK_DOCUMENTS = 1_024
 # Tokens of a text after which it goes on in a lane of its own.
-LANE = 256
+LANE = 64
 # Parts of texts that a worker remembers the tokens of, until it forgets them all.
-CACHE = 300_000
+CACHE = 600_000
+# Parts that are encoded together.
+PARTS = 50_000
 # Links of a group of tokens that are written out one by one; those of larger groups are counted by their ids.
 SINGLE_LINKS = 1_024
-ID_BITS = 32
+ID_BITS = 24
+# The pattern that a byte-level file cuts texts with (fixed by the library, which names it use_regex).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A text where a space stands after white space, before more of it or at the end: what is around decides its tokens.
 INNER_SPACE = re.compile(r"\s (?:\s|\Z)|  | \Z")
 
@@ -56,6 +61,7 @@ class TwoTokenizers:
     def __init__(self, a_path: str, b_path: str, cache: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -69,6 +75,13 @@ class TwoTokenizers:
         self.a_bytes = [b""] * (max([*vocabulary.values(), *special]) + 1)
         for name, i in vocabulary.items():
             self.a_bytes[i] = special[i].encode() if i in special else bytes(map(byte_of.__getitem__, name))
+        self.fast = None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in parts["model"]["merges"]]
+        plain = parts["normalizer"] is None and parts["pre_tokenizer"]["type"] == "ByteLevel" and parts["pre_tokenizer"]["use_regex"]
+        if plain and all(vocabulary[a + b] == len(byte_of) + rank for rank, (a, b) in enumerate(merges)):
+            # Ids are ranks, as the faster library for many short texts wants them.
+            ranks = {self.a_bytes[i]: i for i in vocabulary.values() if i not in special}
+            self.fast = tiktoken.Encoding("a", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -90,25 +103,36 @@ class TwoTokenizers:
 
     def encode_whole(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A for space + text and of B for text."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in a], self.b.encode(texts, num_threads=1) if texts else []
+        spaced = [" " + t for t in texts]
+        if self.fast is not None:
+            a = list(map(self.fast.encode_ordinary, spaced))
+        else:
+            a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        return a, self.b.encode(texts, num_threads=1) if texts else []
 
     def _matches(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = (" " + text).encode("utf-8", "surrogatepass")
         return b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
 
     def _learn(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 20_000):
-            some = parts[at : at + 20_000]
+        for at in range(0, len(parts), PARTS):
+            some = parts[at : at + PARTS]
             found = self.encode_whole(some)
-            right = [self._matches(*three) for three in zip(some, *found)]
+            raw = "".join([" " + part for part in some]).encode("utf-8", "surrogatepass")
+            right = np.ones(len(some), bool)
+            count, flat = [], []
+            for ids, names in zip(found, (self.a_bytes, self.b_bytes)):
+                count.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+                flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(count[-1].sum())))
+                # All parts together first: where that fails, each by itself.
+                if b"".join(map(names.__getitem__, flat[-1].tolist())) != raw:
+                    right = np.array([self._matches(*three) for three in zip(some, *found)])
             self.right = np.concatenate((self.right, right))
-            for side, ids in enumerate(found):
-                count = np.fromiter(map(len, ids), np.int64, len(ids))
-                total = len(self.flat[side])
-                self.begin[side] = np.concatenate((self.begin[side], total + np.cumsum(count) - count))
-                self.count[side] = np.concatenate((self.count[side], count))
-                self.flat[side] = np.concatenate((self.flat[side], *[np.array(i, np.int32) for i in ids]))
+            for side in (0, 1):
+                ends = np.cumsum(count[side])
+                self.begin[side] = np.concatenate((self.begin[side], len(self.flat[side]) + ends - count[side]))
+                self.count[side] = np.concatenate((self.count[side], count[side]))
+                self.flat[side] = np.concatenate((self.flat[side], flat[side]))
             self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
 
     def encode(self, texts: list[str]) -> tuple[Tokens, Tokens]:
@@ -119,23 +143,25 @@ class TwoTokenizers:
             self._forget()
         # An empty part is a single space: the last one of a text.
         self._learn([p for p in met if p not in self.known])
-        ids: list[list[np.ndarray]] = [[], []]
-        whole = [i for i, (t, p) in enumerate(zip(texts, parts)) if t and p is None]
-        apart = {i: both for i, *both in zip(whole, *self.encode_whole([texts[i] for i in whole]))}
-        for i, (text, part) in enumerate(zip(texts, parts)):
-            own = [np.zeros(0, np.int32)] * 2
-            if part is not None:
-                which = np.fromiter(map(self.known.__getitem__, part), np.int64, len(part))
-                if self.right[which].all():
-                    own = [self.flat[s][spread(self.begin[s][which], self.count[s][which])] for s in (0, 1)]
-            elif i in apart and self._matches(text, *apart[i]):
-                own = [np.array(x, np.int32) for x in apart[i]]
-            for side in (0, 1):
-                ids[side].append(own[side])
+        apart = [i for i, (t, p) in enumerate(zip(texts, parts)) if t and p is None]
+        whole = {i: both for i, *both in zip(apart, *self.encode_whole([texts[i] for i in apart])) if self._matches(texts[i], *both)}
+        size = np.array([len(p) if p else 0 for p in parts], np.int64)
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(p for p in parts if p)), np.int64, int(size.sum()))
+        # Texts with a part whose bytes do not come back have no tokens at all.
+        owner = np.repeat(np.arange(len(texts)), size)
+        fine = np.bincount(owner, ~self.right[which], len(texts))[owner] == 0
+        which, owner = which[fine], owner[fine]
         both = []
         for side, length in enumerate((self.a_length, self.b_length)):
-            counts = np.fromiter(map(len, ids[side]), np.int64, len(texts))
-            flat = np.concatenate(ids[side]).astype(np.int64) if texts else np.zeros(0, np.int64)
+            count = self.count[side][which]
+            flat = self.flat[side][spread(self.begin[side][which], count)].astype(np.int64)
+            counts = np.bincount(owner, count, len(texts)).astype(np.int64)
+            if whole:
+                each = np.split(flat, np.cumsum(counts)[:-1])
+                for i, ids in whole.items():
+                    each[i] = np.array(ids[side], np.int64)
+                    counts[i] = len(each[i])
+                flat = np.concatenate(each)
             both.append(Tokens(flat, length[flat], counts))
         return both[0], both[1]
 
@@ -197,37 +223,52 @@ def align(a: Tokens, b: Tokens, lane: int = LANE) -> Aligned:
         cut = np.flatnonzero(ea == eb)
         if len(cut):
             d, p, q, r, s = doc[cut], i0[cut], i[cut], j0[cut], j[cut]
-            cuts.append(np.stack((d, p, q, r, s)))
-            width, height = q - p + 1, s - r + 1
-            many = width * height
-            if (many > SINGLE_LINKS).any():
-                large.extend(zip(*(x[many > SINGLE_LINKS].tolist() for x in (d, p, q, r, s))))
-                few = many <= SINGLE_LINKS
-                d, p, r, height, many = d[few], p[few], r[few], height[few], many[few]
-            within = spread(np.zeros(len(many), np.int64), many)
-            tall = np.repeat(height, many)
-            links.append((np.repeat(d, many), a.ids[np.repeat(p, many) + within // tall] << ID_BITS | b.ids[np.repeat(r, many) + within % tall]))
+            cuts.append((d, p, q, r, s))
+            links.append((d, a.ids[q] << ID_BITS | b.ids[s]))
+            more = np.flatnonzero((p < q) | (r < s))
+            if len(more):
+                # Last tokens are linked; the others of the group follow.
+                d, p, q, r, s = d[more], p[more], q[more], r[more], s[more]
+                height = s - r + 1
+                many = (q - p + 1) * height
+                if (many > SINGLE_LINKS).any():
+                    large.extend(zip(*(x[many > SINGLE_LINKS].tolist() for x in (d, p, q, r, s))))
+                    few = many <= SINGLE_LINKS
+                    d, p, r, height, many = d[few], p[few], r[few], height[few], many[few]
+                rest = many - 1
+                within, tall = spread(np.zeros(len(rest), np.int64), rest), np.repeat(height, rest)
+                left, right = a.ids[np.repeat(p, rest) + within // tall], b.ids[np.repeat(r, rest) + within % tall]
+                links.append((np.repeat(d, rest), left << ID_BITS | right))
         i += ea <= eb
         j += eb <= ea
         i0[cut], j0[cut] = i[cut], j[cut]
         going = i < i_end
         if not going.all():
             doc, i, i_end, j, i0, j0 = doc[going], i[going], i_end[going], j[going], i0[going], j0[going]
-    times = [np.ones(len(x[0]), np.int64) for x in links]
+    joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    every = np.stack([joined([x[k] for x in cuts]) for k in range(5)])
+    # A document and its pair of ids as one number: equal ones are the times of a pair.
+    keys = np.sort(joined([x[0] for x in links]) << 2 * ID_BITS | joined([x[1] for x in links]))
+    keys, times = _summed(keys, np.ones(len(keys), np.int64))
     for d, p, q, r, s in large:
         left, n = np.unique(a.ids[p : q + 1], return_counts=True)
         right, m = np.unique(b.ids[r : s + 1], return_counts=True)
-        links.append((np.full(len(left) * len(right), d), (left[:, None] << ID_BITS | right[None, :]).reshape(-1)))
-        times.append((n[:, None] * m[None, :]).reshape(-1))
-    joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    documents, codes, times_ = joined([x[0] for x in links]), joined([x[1] for x in links]), joined(times)
-    order = np.lexsort((codes, documents))
-    documents, codes, times_ = documents[order], codes[order], times_[order]
-    new = np.flatnonzero(np.concatenate(([True], (documents[1:] != documents[:-1]) | (codes[1:] != codes[:-1])))) if len(codes) else order
-    every = np.concatenate(cuts, axis=1) if cuts else np.zeros((5, 0), np.int64)
-    return Aligned(
-        every[:, np.lexsort((every[1], every[0]))], documents[new], codes[new], np.add.reduceat(times_, new) if len(new) else times_
-    )
+        product = n[:, None] * m[None, :]
+        # The last tokens have been linked already.
+        product[np.searchsorted(left, a.ids[q]), np.searchsorted(right, b.ids[s])] -= 1
+        more = (d << 2 * ID_BITS | left[:, None] << ID_BITS | right[None, :]).reshape(-1)
+        keys, times = np.concatenate((keys, more)), np.concatenate((times, product.reshape(-1)))
+        order = np.argsort(keys, kind="stable")
+        keys, times = _summed(keys[order], times[order])
+    return Aligned(every[:, np.argsort(every[1])], keys >> 2 * ID_BITS, keys & ((1 << 2 * ID_BITS) - 1), times)
+
+
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of sorted ones, with the sums of their times."""
+    if not len(keys):
+        return keys, times
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[new], np.add.reduceat(times, new)
 
 
 class Groups:
@@ -235,7 +276,11 @@ class Groups:
 
     def __init__(self, size: int):
         self.size = size
-        self.names = [b"%d%b" % (i, separator) for separator in (b",", b"|", b";") for i in range(size)]
+        names = [b"%d%b" % (i, separator) for separator in (b",", b"|", b";") for i in range(size)]
+        self.length = np.array(list(map(len, names)))
+        width = int(self.length.max())
+        self.letters = np.array(names, f"S{width}").view(np.uint8).reshape(-1, width)
+        self.used = np.arange(width) < self.length[:, None]
 
     def text(self, ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """The text for ids of a document, and the places of the last tokens of its groups."""
@@ -250,7 +295,7 @@ class Groups:
         names = np.empty(n + m, np.int64)
         names[np.arange(n) + behind[group_a]] = ids_a + sep_a * self.size
         names[np.arange(m) + last_a[group_b] + 1] = ids_b + sep_b * self.size
-        return b"".join(map(self.names.__getitem__, names.tolist()))[:-1].decode()
+        return self.letters[names][self.used[names]].tobytes()[:-1].decode()
 
 
 FIELDS = (
@@ -301,7 +346,9 @@ def _packed(tokenizers: TwoTokenizers, groups: Groups, ids: pa.Array, texts: lis
         own = slice(first_cut[i], first_cut[i + 1])
         at, bt = a.first[i], b.first[i]
         shown.append(groups.text(a.ids[at : at + a.counts[i]], b.ids[bt : bt + b.counts[i]], q[own] - at, s[own] - bt))
-    codes, places, counts = np.unique(found.codes, return_inverse=True, return_counts=True)
+    codes = np.unique(found.codes)
+    places = np.searchsorted(codes, found.codes)
+    counts = np.bincount(places, minlength=len(codes))
     each = np.concatenate(([0], np.cumsum(np.bincount(found.documents, minlength=n))))
     places, times = places.astype(np.int32), found.times
     pieces = lambda values: [values[each[i] : each[i + 1]].tobytes() for i in range(n)]
