@@ -399,7 +399,8 @@ def all_oracles() -> dict[str, str]:
         "prediction_checks": over(
             "fact_daily",
             "select count(*) as rows, count(distinct (user_id, date_key)) as keys, 0::bigint as nulls,"
-            " true as stress_known, true as stress_learnt, true as sleep_known, true as sleep_learnt from fact_daily",
+            " true as stress_known, true as stress_learnt, true as sleep_known, true as sleep_learnt,"
+            " true as weight_learnt from fact_daily",
         ),
         "category_domain": over(
             "raw_log",

@@ -159,6 +159,10 @@ def _prediction_checks(df: DataFrame) -> DataFrame:
             most = F.greatest(*[F.count_if(is_train & (F.col(target.actual) == label)) for label in known])
             checks.append((F.count_if(~F.col(target.predicted).isin(*known)) == 0).alias(f"{target.name}_known"))
             checks.append((right >= most).alias(f"{target.name}_learnt"))
+        else:
+            # Against the mean of the train rows, whose squared error is their variance.
+            error = F.avg(F.when(is_train, F.pow(F.col(target.predicted) - F.col(target.actual), 2)))
+            checks.append((error < F.var_pop(F.when(is_train, F.col(target.actual)))).alias(f"{target.name}_learnt"))
     return scored.agg(*checks)
 
 

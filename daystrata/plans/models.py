@@ -63,10 +63,10 @@ KEYS = ("user_id", "date_key")
 DRAW_SEED = 7
 
 # Forests are fitted on so many partitions, dealt by key and sorted within: bags are drawn by partition and place, so
-# only then does the same data give the same trees.
+# only then does the same data give the same trees. A larger cluster may ask for more; that number is part of the result.
 FIT_PARTITIONS = 16
 
-# Rows that forests are fitted on at most (about; drawn by a hash of the key): each keeps a copy of them.
+# Rows that classifiers are fitted on at most (about; drawn by a hash of the key). Regressors take all train rows.
 FIT_ROWS = 20_000_000
 
 
@@ -188,7 +188,7 @@ def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | No
 
 
 def _fitting_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
-    """``rows`` with ``_fit``: train rows, but no more than ``fit_rows`` of them (about)."""
+    """``rows`` with ``_fit``: train rows for the classifiers, no more than ``fit_rows`` of them (about)."""
     is_train = F.col("split") == "train"
     n = rows.filter(is_train).count()
     share = min(1.0, fit_rows / max(1, n))
@@ -201,17 +201,20 @@ def train_models(
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
     parallelism: int = 3,
     fit_rows: int = FIT_ROWS,
+    fit_partitions: int = FIT_PARTITIONS,
 ) -> Trained:
     """Fit all targets on "train" rows of a model frame with targets and ``split``, and measure on the rest.
 
+    Classifiers are fitted on about ``fit_rows`` of the train rows at most, regressors on all of them.
+
     The indexed frame, cut down to the columns in use, is kept for the many passes of the forests, in an order that
     follows from its content alone; lost blocks are recomputed from its source. Up to ``parallelism`` models train at
     a time: their jobs fill the gaps that the driver work between levels leaves.
     """
     used = {*KEYS, *CATEGORIES, "split", *(c for t in targets for c in (t.label, *t.features))}
     rows = _fitting_rows(known_categories(rows.select(*[c for c in rows.columns if c in used])), fit_rows)
-    trained = Trained(category_indexers().fit(rows.filter("_fit")))
-    dealt = rows.repartition(FIT_PARTITIONS, *KEYS).sortWithinPartitions(*KEYS, *sorted(set(rows.columns) - set(KEYS)))
+    trained = Trained(category_indexers().fit(rows.filter(F.col("split") == "train")))
+    dealt = rows.repartition(fit_partitions, *KEYS).sortWithinPartitions(*KEYS, *sorted(set(rows.columns) - set(KEYS)))
     indexed = trained.shared.transform(dealt).persist(storage)
 
     def fit(target: Target) -> None:
@@ -221,7 +224,8 @@ def train_models(
             labels = label_model.labels
             frame = label_model.transform(indexed)
         # The copy leaves out the training summary, which would drag its frame and session into every task.
-        model = _stages(target, labels).fit(frame.filter("_fit")).copy()
+        fitting = F.col("_fit") if target.classes else F.col("split") == "train"
+        model = _stages(target, labels).fit(frame.filter(fitting)).copy()
         trained.models[target.name] = model
         trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
         LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
@@ -262,6 +266,7 @@ def train_and_score(
     with_split: bool = False,
     targets: Sequence[Target] = TARGETS,
     fit_rows: int = FIT_ROWS,
+    fit_partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """Train on part of the daily fact and predict for all of it.
 
@@ -272,4 +277,4 @@ def train_and_score(
     path = scratch_dir(fact.sparkSession)
     rows.write.parquet(path)
     stored = fact.sparkSession.read.schema(rows.schema).parquet(path)
-    return score(stored, train_models(stored, targets, fit_rows=fit_rows), targets, with_split)
+    return score(stored, train_models(stored, targets, fit_rows=fit_rows, fit_partitions=fit_partitions), targets, with_split)

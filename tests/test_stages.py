@@ -6,6 +6,7 @@ import logging
 import pytest
 from pyspark.sql import functions as F
 
+from daystrata.catalog.queries import fact_frame
 from daystrata.plans import models, stages
 from daystrata.plans.enrich import build_silver
 from daystrata.schema import DAILY_LOG_FIELDS
@@ -169,6 +170,37 @@ def test_models_repeat_and_learn(spark, fact_path):
         assert scored.exceptAll(again).isEmpty()
 
 
+def test_models_beat_a_trivial_one_on_rows_not_seen(spark):
+    steps, stress = F.col("steps"), F.col("stress_level")
+    fact = fact_frame(spark, "/root/testdata/sf0.001").withColumns(
+        {
+            "stress_change_30d": F.when(steps > 12_000, 3).when(steps < 9_000, -3).otherwise(0),
+            "sleep_quality": F.when(stress > 6, "poor").when(stress > 3, "fair").otherwise("good"),
+            "weight_change_30d": steps / 5_000 + F.col("age") / 20,
+        }
+    )
+    few = tuple(models.Target(**{**t.__dict__, "trees": 8}) for t in models.TARGETS)
+    rows = models._with_split(models.with_targets(models.prepare_ml(fact)), 0.8, 42, None)
+    metrics = models.train_models(rows, few).metrics
+    test = rows.filter("split = 'test'")
+    for target in few:
+        if target.classes:
+            most = test.groupBy(target.label).count().agg(F.max("count")).first()[0]
+            assert metrics[target.name]["accuracy"] > most / test.count()
+        else:
+            assert metrics[target.name]["rmse"] < test.agg(F.stddev_pop(target.label)).first()[0]
+
+
+def test_the_bound_on_rows_is_for_classifiers_only(spark, fact_path):
+    rows = models._with_split(models.with_targets(models.prepare_ml(spark.read.parquet(fact_path))), 0.8, 42, None)
+    weight = (models.Target(**{**models.TARGETS[2].__dict__, "trees": 3, "depth": 3}),)
+    bounded, whole = (models.score(rows, models.train_models(rows, weight, fit_rows=n), weight) for n in (10, 10**9))
+    assert bounded.exceptAll(whole).isEmpty()
+    stress = (models.Target(**{**models.TARGETS[0].__dict__, "trees": 3, "depth": 3}),)
+    assert models._fitting_rows(rows, 10).filter("_fit").count() < rows.filter("split = 'train'").count() / 2
+    assert models.score(rows, models.train_models(rows, stress, fit_rows=60, fit_partitions=3), stress).count() == rows.count()
+
+
 def test_many_categories_train(spark, make_log):
     """Dirty categories share one bucket, so there are never too many of them for a tree."""
     rows = [r | {"gender": f"g{i}"} for i, r in enumerate(month_of_rows(1, 80))] + list(month_of_rows(2, 5))
