@@ -237,6 +237,14 @@ DIM_USER = (
     + " from silver group by user_id, age, gender"
 )
 DIM_DATE = f"select distinct {DATE_KEY} as date_key, date, day, month, year, weekday from silver"
+# Rows of the third arrival, and all rows of the users whose first days come with it.
+DEALT = """
+ (select user_id, case when user_id % 5 = 1 and date < '1995-10-01' then 2 when date < '1997-04-01' then 0
+   when date < '1999-07-01' then 1 else 2 end as arrival, user_id % 5 = 1 and date < '1995-10-01' as early from raw_clean)"""
+APPEND_COUNTS = f"""
+ select arrival::bigint as batch, count(*) as rows from {DEALT} where arrival < 2 group by arrival
+ union all select 2, count(*) from {DEALT} where arrival = 2 or user_id in (
+  select user_id from {DEALT} group by user_id having bool_or(early) and bool_or(arrival < 2))"""
 LABELED = f"select {STRESS.replace('stress_change_30d', 'coalesce(stress_change_30d, 0)')} as label from fact_daily"
 
 
@@ -356,7 +364,10 @@ def all_oracles() -> dict[str, str]:
         "clean_csv": over("raw_clean", "select * from raw_clean"),
         "stream_bronze": over("raw_log", "select * from raw_log"),
         "stream_silver": over("silver", SILVER_SHOWN),
+        "stream_bronze_headers": over("raw_log", "select * from raw_log"),
+        "stream_bronze_counts": over("raw_log", "select count(*) as rows_there, count(*) as rows_said from raw_log"),
         "append_silver": over("silver", SILVER_SHOWN),
+        "append_counts": over("raw_clean", APPEND_COUNTS),
         "append_fact_daily": over("fact_daily", "select * from fact_daily"),
         "append_dim_user": over("silver", DIM_USER),
         "append_dim_date": over("silver", DIM_DATE),

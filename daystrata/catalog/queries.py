@@ -258,6 +258,38 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return silver, gold_path
 
 
+def _header_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Files of two orders of columns land in one folder, two at a time; the folder of bronze and of its counts."""
+    folder = files.scratch_dir(spark)
+    raw = raw_log(spark, sf_dir)
+    for part in (0, 1):
+        shown = raw.filter(F.col("age") % 2 == part)
+        turned = shown.select(*reversed(shown.columns))
+        files.write_csv(turned if part else shown, f"{folder}/raw/arrival-{part}")
+        paths = (f"{folder}/raw/*/*.csv", f"{folder}/bronze", f"{folder}/ingest")
+        incremental.ingest_by_header(spark, *paths, multiline=False, max_files=8, counts_path=f"{folder}/counts")
+    return folder
+
+
+def _header_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = files.read_table(spark, f"{_header_stream(spark, sf_dir)}/bronze")
+    return bronze.drop(INGEST_TS, incremental.BUCKET, incremental.BATCH)
+
+
+def _header_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the batches of a stream say they wrote, beside those that are there."""
+    folder = _header_stream(spark, sf_dir)
+    there = files.read_table(spark, f"{folder}/bronze").agg(F.count("*").alias("rows_there"))
+    said = files.read_table(spark, f"{folder}/counts").agg(F.sum("rows").alias("rows_said"))
+    return there.join(said)
+
+
+def _append_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written to silver by each of three arrivals."""
+    silver, _ = _arrivals(spark, sf_dir)
+    return files.read_table(spark, keyed.counts_path(silver)).select("batch", "rows")
+
+
 def _append_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver, _ = _arrivals(spark, sf_dir)
     return _shown(keyed.current_silver(spark, silver).drop(INGEST_TS, incremental.BUCKET, keyed.BATCH))
@@ -363,7 +395,10 @@ def all_queries() -> dict[str, Query]:
         "silver_csv": _silver_csv,
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,
+        "stream_bronze_headers": _header_bronze,
+        "stream_bronze_counts": _header_counts,
         "append_silver": _append_silver,
+        "append_counts": _append_counts,
         "append_fact_daily": _append_fact,
         "append_dim_user": _append_dim_user,
         "append_dim_date": _append_dim_date,

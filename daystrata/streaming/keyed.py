@@ -20,9 +20,8 @@ from daystrata.operators.history import HALO, TIE, history, row_hash
 from daystrata.plans.enrich import derived_columns, history_features
 from daystrata.schema import INGEST_TS, NON_NEGATIVE, RANGE_RULES
 from daystrata.sources.files import read_table, scratch_dir, write_table
-from daystrata.streaming.incremental import BUCKET, BUCKETS, user_bucket
+from daystrata.streaming.incremental import BATCH, BUCKET, BUCKETS, user_bucket, write_counts
 
-BATCH = "batch"
 # Kinds of rows that the state hands on: rows of the batch, last rows before it, users whose rows come out of order.
 KIND = "_kind"
 NEW, TAIL, LATE = "new", "tail", "late"
@@ -43,6 +42,11 @@ def superseded_path(silver_path: str) -> str:
     return f"{str(silver_path).rstrip('/')}-superseded"
 
 
+def counts_path(silver_path: str) -> str:
+    """Where the number of rows that each batch wrote is kept."""
+    return f"{str(silver_path).rstrip('/')}-counts"
+
+
 def current_silver(spark: SparkSession, silver_path: str, before: int | None = None) -> DataFrame:
     """The rows of silver that count, after all batches or those with a number below ``before``."""
     rows = read_table(spark, silver_path, "Run the refresh first.")
@@ -156,7 +160,8 @@ def write_batch(rows: DataFrame, silver_path: str, batch_id: int, buckets: int,
         marked = late.withColumn(BATCH, F.lit(batch_id).cast("long"))
         write_table(marked, superseded_path(silver_path), (BATCH,), dynamic=True)
     shown = derived_columns(done, columns).withColumns({BUCKET: user_bucket(buckets), BATCH: F.lit(batch_id).cast("long")})
-    write_table(shown, silver_path, (BUCKET, BATCH), dynamic=True)
+    counted = write_table(shown, silver_path, (BUCKET, BATCH), dynamic=True, counts="rows")
+    write_counts(spark, counts_path(silver_path), batch_id, counted["rows"])
 
 
 def append_silver(
@@ -184,7 +189,7 @@ def append_silver(
     reader = own.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    bronze = reader.parquet(str(bronze_path)).drop(BUCKET)
+    bronze = reader.parquet(str(bronze_path)).drop(BUCKET, BATCH)
     clean = clean_rows(bronze, rules, clip)
     tied = clean.withColumn(TIE, row_hash(clean.columns, (INGEST_TS,)))
     shown = T.StructType([T.StructField(f.name, f.dataType) for f in tied.schema])

@@ -84,6 +84,30 @@ def test_wrong_header_stops_the_stream(spark, paths, tmp_path, write_csv_rows):
         incremental.ingest_new_files(spark, paths["raw"], paths["bronze"], paths["ingest"], BUCKETS)
 
 
+def test_files_are_bound_by_their_own_headers(spark, paths, tmp_path, write_csv_rows):
+    raw, turned = tmp_path / "raw", list(reversed(DAILY_LOG_FIELDS))
+    write_csv_rows(raw / "a.csv", {"user_id": 1}, {"user_id": 2})
+    write_csv_rows(raw / "b.csv", {"user_id": 3}, {"user_id": 4, "steps": 5}, header=turned)
+    counts = str(tmp_path / "counts")
+    ingest = lambda **more: incremental.ingest_by_header(
+        spark, paths["raw"], paths["bronze"], paths["ingest"], BUCKETS, counts_path=counts, **more
+    )
+    ingest(max_files=1)
+    write_csv_rows(raw / "c.csv", {"user_id": 5, "gender": '"a\nb"'}, header=turned)
+    ingest()
+    ingest()
+    found = read_table(spark, paths["bronze"])
+    assert sorted((r["user_id"], r["steps"], r["gender"]) for r in found.collect())[2:] == [(3, 8000, "M"), (4, 5, "M"), (5, 8000, "a\nb")]
+    assert {r["batch"]: r["rows"] for r in read_table(spark, counts).collect()} == {0: 2, 1: 2, 2: 1}
+    assert {r["batch"]: r["count"] for r in found.groupBy("batch").count().collect()} == {0: 2, 1: 2, 2: 1}
+    # A batch with a header that does not fit leaves nothing behind.
+    write_csv_rows(raw / "d.csv", {"user_id": 6})
+    write_csv_rows(raw / "e.csv", {"user_id": 7}, header=turned[1:])
+    with pytest.raises(Exception, match="absent"):
+        ingest()
+    assert read_table(spark, paths["bronze"]).count() == 5
+
+
 def test_refresh_needs_bronze(spark, paths):
     with pytest.raises(FileNotFoundError, match="Run the ingest first"):
         incremental.refresh_silver(spark, paths["bronze"], paths["silver"], paths["refresh"])
