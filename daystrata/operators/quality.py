@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -12,6 +13,11 @@ from daystrata.operators.clean import Rules
 from daystrata.schema import INGEST_TS, NON_NEGATIVE, RANGE_RULES
 
 # Error bound of the quantile sketch is 1 / SKETCH_ACCURACY of the rows.
+# Ranges that values are counted in where a sketch does not bracket the median.
+RANGES = 256
+# Octaves below 1 that a double reaches, and those from which on a bracket is wide.
+OCTAVES = 1_100
+WIDE = 64
 SKETCH_ACCURACY = 10_000
 
 # Most distinct values to sort in one task when the exact median is read off.
@@ -209,8 +215,9 @@ def exact_medians(
 
     A quantile sketch brackets the middle of each column. Exact counts below and inside the bracket confirm it,
     and sketches over the bracket narrow it until what it can hold is small enough to count by value and sort.
-    A bracket that a count does not confirm is not used. The driver sees a few numbers per column: ``totals``, the
-    counts and extremes of each column, which are looked up if not given, and the edges of the brackets.
+    Where a count does not confirm a bracket, the one before it is narrowed by counting values in ranges of equal
+    width, which always comes to an end. The driver sees a few numbers per column: ``totals``, the counts and extremes
+    of each column, which are looked up if not given, the edges of the brackets and the counts of ranges.
     """
     value = {c: F.col(c).cast("double") for c in cols}
     if totals is None:
@@ -250,6 +257,7 @@ def _narrow(df, value, brackets, open_cols, max_values) -> list[str]:
         b = brackets[c]
         below, inside = counts[f"below_{c}"], counts[f"inside_{c}"]
         if not b.holds(below, inside) or inside >= b.inside:
+            _narrow_by_ranges(df, value[c], b, max_values)
             continue
         b.low, b.high, b.below, b.inside = edges[c][0], edges[c][1], below, inside
         # Copies of the two edge values collapse when counted by value; only what lies between them counts.
@@ -258,6 +266,57 @@ def _narrow(df, value, brackets, open_cols, max_values) -> list[str]:
     return remaining
 
 
+def _finite(value: Column) -> Column:
+    return ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+
+
+def _octave(value: float) -> float:
+    """The octave of a number, counted from 0 outwards."""
+    return math.copysign(math.log2(abs(value)) + OCTAVES, value) if value else 0.0
+
+
+def _narrow_by_ranges(df: DataFrame, value: Column, b: _Bracket, max_values: int) -> None:
+    """Narrow a bracket to the range, of equal width or of equally many octaves, that holds the middle, again and again.
+
+    The least and the greatest value inside are never in the same range, so each pass leaves values out; it ends when
+    few are left or all are equal. Infinite values and NaN have ranges of their own. One pass counts RANGES ranges.
+    """
+    edges = df.filter(_inside(value, b) & _finite(value)).agg(F.min(value), F.max(value)).first()
+    low, high = edges
+    while b.inside > max_values and b.low != b.high:
+        below_all, above_all, no_number = F.lit(-1), F.lit(RANGES), F.lit(RANGES + 1)
+        if low is None or low == high:
+            place = F.lit(0)
+        else:
+            if _octave(high) - _octave(low) > WIDE:
+                # Ranges of about as many octaves first, or small values would stay together pass after pass.
+                octave = F.when(value == 0, 0.0).otherwise(F.signum(value) * (F.log2(F.abs(value)) + OCTAVES))
+                share = (octave - _octave(low)) / (_octave(high) - _octave(low))
+            else:
+                # Halves, as the width of the bracket may be beyond what a double holds.
+                share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+            place = F.greatest(F.lit(0), F.least(F.lit(RANGES - 1), F.floor(share * RANGES).cast("int")))
+        place = F.when(F.isnan(value), no_number).when(_finite(value), place).otherwise(F.when(value > 0, above_all).otherwise(below_all))
+        ranges = df.filter(_inside(value, b)).select(place.alias("place"), value.alias("value"))
+        found = ranges.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        upto, middle = b.below, {}
+        for row in sorted(found.collect()):  # at most RANGES + 3 rows
+            for rank in ((b.n - 1) // 2, b.n // 2):
+                if upto <= rank < upto + row["n"]:
+                    middle[rank] = (row, upto)
+            upto += row["n"]
+        (first, before), (last, _) = middle[(b.n - 1) // 2], middle[b.n // 2]
+        if first["place"] != last["place"]:
+            # Nothing lies between the greatest value of one range and the least of the next.
+            b.low, b.high = first["high"], last["low"]
+            b.below, b.inside = df.agg(F.count_if(value < F.lit(float(b.low))), F.count_if(_inside(value, b))).first()
+            return
+        b.low, b.high, b.below, b.inside = first["low"], first["high"], before, first["n"]
+        if not 0 <= first["place"] < RANGES:
+            b.high = b.low
+        low, high = b.low, b.high
+
+
 def _read_median(df, value, brackets) -> DataFrame:
     """Count the values inside each bracket and take the middle one, or the mean of the middle two."""
     schema = T.StructType().add("column", "string").add("_below", "long").add("_n", "long")

@@ -152,3 +152,28 @@ def test_stamp_and_required_rows(flawed):
     assert quality.require_rows(flawed) is flawed
     with pytest.raises(ValueError, match="no rows"):
         quality.require_rows(flawed.limit(0))
+
+
+def test_medians_where_no_sketch_holds(spark, monkeypatch, max_values=3):
+    """Every bracket of the sketches is refused: ranges must find the middle by themselves."""
+    monkeypatch.setattr(quality._Bracket, "holds", lambda *_: False)
+    rng = random.Random(3)
+    data = {
+        "plain": [rng.uniform(-5, 5) for _ in range(301)],
+        "even": [float(rng.randint(0, 1000)) for _ in range(300)],
+        "copies": [7.0] * 250 + [float(i) for i in range(51)],
+        "two": [1.0] * 150 + [2.0] * 150,
+        "wide": [rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300) for _ in range(301)],
+        "whole_range": [-1.7e308, 1.7e308] * 150 + [3.0],
+        "endless": [float("-inf")] * 100 + [float("inf")] * 120 + [1.0, 2.0, 5.0] * 27,
+        "upper": [float("inf")] * 200 + [1.0] * 101,
+    }
+    n = max(map(len, data.values()))
+    rows = list(zip(*[v + [None] * (n - len(v)) for v in data.values()]))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data)).repartition(3)
+    found = {r["column"]: r["median"] for r in quality.exact_medians(df, list(data), max_values).collect()}
+    for c, values in data.items():
+        known = [v for v in values if v is not None]
+        assert found.get(c) == (statistics.median(known) if known else None), c
+    plan = quality.exact_medians(df, ["wide"], max_values)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
