@@ -12,6 +12,9 @@ from daystrata.llm.common import text_of
 
 # Characters of the gap on either side of a span in which context words are looked for.
 NEAR = 40
+# Matches of a text whose lengths are added up one by one; what comes before them is added up by blocks.
+BLOCK = 64
+SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:string,score:double>"
 
 
 @dataclass(frozen=True)
@@ -136,51 +139,68 @@ def _score(kind: Kind, context: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(100), F.lit(round(100 * kind.base)) + up - down)) / 100
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, wherever Spark moves the expression: it is bound, not looked up."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def find_spans(rows: DataFrame, kinds: tuple[Kind, ...] = KINDS, text: str = "text") -> DataFrame:
     """``rows`` with ``found``: structs (start, kind_no, end, kind, value, score), by start and kind.
 
     Splitting at a pattern gives the gaps between its matches, so places are running sums of the lengths of gaps and
-    matches, in code points. Texts without a match are left after one look.
+    matches, in code points. Texts without a match are left after one look. A row number that is never below 0 keeps
+    filters on the result from having it worked out again.
     """
-    for no, kind in enumerate(kinds):
-        there = F.regexp_like(F.col(text), F.lit(kind.pattern))
-        nothing = F.array().cast("array<string>")
-        rows = rows.withColumns(
-            {
-                f"hits_{no}": F.when(there, F.regexp_extract_all(text, F.lit(kind.pattern), 0)).otherwise(nothing),
-                f"gaps_{no}": F.when(there, F.split(text, kind.pattern, -1)).otherwise(nothing),
-            }
-        )
-    spans = [_placed(kind, no, F.col(f"hits_{no}"), F.col(f"gaps_{no}")) for no, kind in enumerate(kinds)]
-    helpers = [f"{name}_{no}" for name in ("hits", "gaps") for no in range(len(kinds))]
-    return rows.withColumn("found", F.array_sort(F.concat(*spans))).drop(*helpers)
+    spans = F.array_sort(F.concat(*[_spans(kind, no, text) for no, kind in enumerate(kinds)]))
+    return rows.withColumn("found", F.when(F.monotonically_increasing_id() >= 0, spans))
 
 
-def _placed(kind: Kind, no: int, hits: Column, gaps: Column) -> Column:
+def _spans(kind: Kind, no: int, text: str) -> Column:
     """Confirmed spans of one kind."""
-    ends = F.lit(None).cast("int")
-    seen = F.transform(
-        hits,
-        lambda hit, i: F.struct(
-            F.lit(0).alias("start"), F.lit(no).alias("kind_no"), ends.alias("end"), F.lit(kind.name).alias("kind"), hit.alias("value"),
-            _score(kind, F.concat(F.right(gaps[i], F.lit(NEAR)), F.lit(" "), F.left(gaps[i + 1], F.lit(NEAR)))).alias("score"),
-            F.char_length(gaps[i]).alias("gap"),
-        ),
-    )
-    span = "struct<start:int,kind_no:int,end:int,kind:string,value:string,score:double>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
-
-    def place(done: Column, hit: Column) -> Column:
-        at = done["at"] + hit["gap"]
-        end = at + F.char_length(hit["value"])
-        new = F.struct(
-            at.alias("start"), hit["kind_no"].alias("kind_no"), end.alias("end"), hit["kind"].alias("kind"),
-            hit["value"].alias("value"), hit["score"].alias("score"),
+    nothing = F.array().cast(f"array<{SPAN}>")
+    matched = F.struct(F.regexp_extract_all(text, F.lit(kind.pattern), 0).alias("hits"), F.split(text, kind.pattern, -1).alias("gaps"))
+    found = _let(matched, lambda m: _let(_lengths(m), lambda lengths: _let(_starts(lengths), lambda s: _placed(kind, no, m, lengths, s))))
+    valid = F.filter(found, lambda x: F.coalesce(kind.valid(x["value"]), F.lit(False)))
+    return F.when(F.regexp_like(F.col(text), F.lit(kind.pattern)), valid).otherwise(nothing)
+
+
+def _lengths(matched: Column) -> Column:
+    """Characters of each gap and the match behind it."""
+    return F.transform(matched["hits"], lambda hit, i: F.char_length(matched["gaps"][i]) + F.char_length(hit))
+
+
+def _starts(lengths: Column) -> Column:
+    """Characters before every block of BLOCK matches."""
+    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int"))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+    def add(done: Column, block: Column) -> Column:
+        return F.struct(
+            (done["at"] + _sum(F.slice(lengths, block * BLOCK + 1, F.lit(BLOCK)))).alias("at"),
+            F.array_append(done["starts"], done["at"]).alias("starts"),
+        )
+
+    return F.aggregate(blocks, first, add, lambda done: done["starts"])
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, n: total + n)
+
+
+def _placed(kind: Kind, no: int, matched: Column, lengths: Column, starts: Column) -> Column:
+    """A match starts behind its block's start, the earlier matches of the block and its own gap."""
+
+    def place(hit: Column, i: Column) -> Column:
+        block = F.floor(i / BLOCK).cast("int")
+        gap, after = matched["gaps"][i], matched["gaps"][i + 1]
+        start = starts[block] + _sum(F.slice(lengths, block * BLOCK + 1, i - block * BLOCK)) + F.char_length(gap)
+        context = F.concat(F.right(gap, F.lit(NEAR)), F.lit(" "), F.left(after, F.lit(NEAR)))
+        return F.struct(
+            start.alias("start"), F.lit(no).alias("kind_no"), (start + F.char_length(hit)).alias("end"), F.lit(kind.name).alias("kind"),
+            hit.alias("value"), _score(kind, context).alias("score"),
         )
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(new)).cast(f"array<{span}>").alias("spans"))
 
-    placed = F.aggregate(seen, start, place, lambda done: done["spans"])
-    return F.filter(placed, lambda x: F.coalesce(kind.valid(x["value"]), F.lit(False)))
+    return F.transform(matched["hits"], place).cast(f"array<{SPAN}>")
 
 
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
