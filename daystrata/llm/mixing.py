@@ -15,8 +15,10 @@ CAP = 3
 SEED = 20_250
 # Documents of one source and length that are ranked together.
 BUCKET_ROWS = 256
-# Words that the knapsack fits; what is above goes to the longest documents left.
+# Words that the knapsack fits; of what is above, sums of long documents and then the longest documents left take most.
 KNAPSACK_WORDS = 65_536
+# Sums of long documents that are held against the budget.
+LONG_SUMS = 20_000
 BROADCAST_ROWS = 200_000
 
 
@@ -58,8 +60,10 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int
 def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsack_words: int = KNAPSACK_WORDS) -> list[int]:
     """How many of the ``counts`` documents of each size to take so that their words come as close to ``budget`` as can be.
 
-    Each size first gives its proportional share, rounded down; long sizes then give one more and so on until no more
-    than ``knapsack_words`` are left, and a bounded knapsack over the documents left fits those.
+    Each size first gives its proportional share, rounded down. If more than ``knapsack_words`` are left, documents of
+    at least an eighth of that are chosen next, by all the sums that they can make, if these are at most LONG_SUMS; then
+    long sizes give one more and so on until no more than ``knapsack_words`` are left, and a bounded knapsack over the
+    documents left fits those.
     """
     total = sum(s * n for s, n in zip(sizes, counts))
     if total == 0 or budget <= 0:
@@ -68,6 +72,18 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsac
         return list(counts)
     taken = [n * budget // total for n in counts]
     rest = budget - sum(s * t for s, t in zip(sizes, taken))
+    if rest > knapsack_words:
+        long = [i for i in range(len(sizes)) if 8 * sizes[i] >= knapsack_words and counts[i] > taken[i]]
+        short = sum(s * (n - t) for i, (s, n, t) in enumerate(zip(sizes, counts, taken)) if i not in set(long))
+        chosen = _long_ones(long, [sizes[i] for i in long], [counts[i] - taken[i] for i in long], rest, short)
+        if chosen is not None:
+            for i, n in chosen.items():
+                taken[i] += n
+                rest -= n * sizes[i]
+            if rest <= 0:
+                return taken
+            # What is left is for the others.
+            sizes = [0 if i in set(long) else s for i, s in enumerate(sizes)]
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         if rest <= knapsack_words:
             break
@@ -102,6 +118,27 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, knapsac
     return taken
 
 
+def _long_ones(names: list[int], sizes: list[int], counts: list[int], rest: int, short: int) -> dict[int, int] | None:
+    """How many documents of each long size to take so that ``rest`` words are met best, given ``short`` words of others.
+
+    Every sum that the long documents can make is kept with the way to it; None if there are more than LONG_SUMS.
+    """
+    ways: dict[int, tuple] = {0: ()}
+    for name, size, count in zip(names, sizes, counts):
+        for total, way in list(ways.items()):
+            for n in range(1, min(count, (2 * rest - total) // size) + 1):
+                ways.setdefault(total + n * size, (name, n, way))
+            if len(ways) > LONG_SUMS:
+                return None
+    distance = lambda total: total - rest if total >= rest else max(0, rest - total - short)
+    best = ways[min(ways, key=lambda total: (distance(total), -total))]
+    chosen: dict[int, int] = {}
+    while best:
+        name, n, best = best
+        chosen[name] = n
+    return chosen
+
+
 def _fitted(histogram: pd.DataFrame) -> pd.DataFrame:
     """How many documents of each size of one source are taken once more than ``rounds`` times."""
     total, target = int(histogram["total"].iloc[0]), float(histogram["target"].iloc[0])
@@ -126,22 +163,26 @@ def mix_sources(
     weights: Sequence[int] = WEIGHTS,
     seed: int = SEED,
     bucket_rows: int = BUCKET_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per input row: doc_id, source, size, source_size, target, copies, taken (= copies * size).
+    """Per input row: doc_id, source, size, source_size, target, copies, taken (= copies * size), and ``carry`` columns.
 
     A source is taken in whole rounds, then once more in part: of each size so many documents as the knapsack says,
     namely those with the smallest seeded hash of their id. Large groups of one source and size are cut into buckets by
     that hash; only within the bucket where the count is reached does the rank matter, and no bucket is large.
 
     Null texts have size 0, like empty ones; they are never taken and take nothing away. Null is a source of its own.
-    Equal hashes are told apart by id; rows repeated with their id share a hash, and which of them is taken is not
-    determined, though their number is. An empty table gives an empty result.
+    Rows without id are dealt by a hash of their text. Equal hashes are told apart by id and text; of rows that repeat
+    both it is not determined which is taken, though their number is. An empty table gives an empty result. ``carry``
+    names further columns of ``docs`` to return, other than those above.
     """
     sized = keep(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
             F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+            F.xxhash64(text_of(text_col)).alias("content"),
+            F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried"),
         )
     )
     histogram = keep(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
@@ -155,7 +196,8 @@ def mix_sources(
         .applyInPandas(_fitted, schema)
     ).withColumnsRenamed({"source": "of", "size": "long"})
     # 32 bits of the hash, as a share of the buckets of the group.
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 32)
+    dealt = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), F.col("content"))).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id")))
+    chance = F.shiftrightunsigned(dealt, 32)
     group = sized.join(small(plan, BROADCAST_ROWS), _same("source", "of") & (F.col("size") == F.col("long"))).withColumn(
         "chance", chance
     )
@@ -166,7 +208,7 @@ def mix_sources(
     before = counted.select(
         F.col("of").alias("b_of"), F.col("long").alias("b_long"), F.col("bucket").alias("b"), F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("before")
     )
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("chance", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("chance", "doc_id", "content"))
     ranked = group.withColumn("rank", rank).join(
         before, _same("source", "b_of") & (F.col("size") == F.col("b_long")) & (F.col("bucket") == F.col("b"))
     )
@@ -179,4 +221,5 @@ def mix_sources(
         "target",
         "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
+        *([F.col("carried")[name].alias(name) for name in carry]),
     )
