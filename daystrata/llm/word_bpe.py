@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daystrata.llm.common import keep_in_batches, text_of
+from daystrata.llm.common import keep, keep_in_batches, text_of
 from daystrata.llm.transducer import Transducer, compile_words, spread
 from daystrata.sources.files import scratch_dir
 
@@ -288,10 +288,21 @@ def parts_of(raw: bytes, size: int) -> Iterator[bytes]:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", words: int = LEXICON_WORDS) -> DataFrame:
-    """(word, n): the most frequent words of all texts, as they stand, at most ``words`` of them."""
+    """(word): the most frequent words of all texts, as they stand, no more than ``words`` of them.
+
+    How many words there are of about each frequency, in steps of a 64th of a power of two, tells from which on they
+    are few enough; so only words of the lexicon leave the tasks.
+    """
     every = docs.select(F.explode(F.split(text_of(text_col), BLANKS)).alias("word"))
     counted = every.filter((F.col("word") != "") & (F.octet_length("word") <= WORD_BYTES)).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.filter("n > 1").orderBy(F.desc("n"), "word").limit(words)
+    counted = keep(counted.filter("n > 1").select("word", F.floor(F.log2("n") * 64).cast("int").alias("step")))
+    total, least = 0, None
+    for step, n in sorted(counted.groupBy("step").count().collect(), reverse=True):
+        total += n
+        if total > words:
+            break
+        least = step
+    return counted.filter(F.lit(least is not None) & (F.col("step") >= F.lit(least or 0))).select("word")
 
 
 def publish_lexicon(spark: SparkSession, words: list[str], path: str) -> str:
@@ -319,15 +330,15 @@ def encode_texts(
     """Per input row: doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit) and decoded (text).
 
     ``path`` is a BPE file with word ends that every executor can open; ids are those of the tokenizers library without
-    added tokens, special strings in a text included, and ``decoded`` is its decoding with them. The ``lexicon_words``
-    most frequent words of all texts are compiled into a transducer; what is not in it is merged, so the lexicon's
-    contents change no row. Null and empty texts, and texts of white space only, have no ids and decode to an empty
+    added tokens, special strings in a text included, and ``decoded`` is its decoding with them. The most frequent words
+    of all texts, ``lexicon_words`` at most, are compiled into a transducer; what is not in it is merged, so the
+    lexicon's contents change no row. Null and empty texts, and texts of white space only, have no ids and decode to an empty
     text. Rows are independent: repeated rows get equal answers, ids may be null, an empty table gives an empty result,
     and other columns are not looked at.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    frequent = [r["word"] for r in frequent_words(rows, "text", lexicon_words).select("word").collect()]
+    frequent = [r["word"] for r in frequent_words(rows, "text", lexicon_words).collect()]
     name = publish_lexicon(spark, frequent, path)
     schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids binary, decoded string")])
 
