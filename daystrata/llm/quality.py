@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daystrata.llm.common import keep_in_batches, text_of
-from daystrata.llm.hashed import BUCKETS, FIT_ROWS, TERMS, Adam, Sample, drawn, held_out, row_sums, sample_terms
+from daystrata.llm.hashed import BUCKETS, FIT_ROWS, Adam, Sample, drawn, held_out, in_slices, row_sums, rounds, sample_terms
 from daystrata.llm.words import PLAIN, WordHashes
 
 # Grades from which a document counts as good, and how sure that must be.
@@ -60,7 +60,7 @@ def with_terms(rows: DataFrame) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_hashes = WordHashes(PLAIN)
-        for batch in batches:
+        for batch in in_slices(batches):
             buckets = [terms_of_text(t, word_hashes) for t in batch.column("text").to_pylist()]
             names = [n for n in batch.schema.names if n != "text"]
             columns = [batch.column(n) for n in names] + [pa.array(buckets, pa.list_(pa.int32()))]
@@ -69,42 +69,45 @@ def with_terms(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(add, schema)
 
 
-def fit(sample: Sample, grades: int, steps: int = 300, rate: float = 0.05, shrink: float = 1e-5) -> dict:
+def fit(sample: Sample, grades: int, rate: float = 0.05, shrink: float = 1e-5, seed: int = 11) -> dict:
     """One weight per term and an ordered threshold below each grade but the first.
 
     P(grade >= k) is the logistic function of (sum of weights - threshold k); thresholds are a first one and positive
     gaps, so they stay in order.
     """
-    n = len(sample.labels)
     model = {"weights": np.zeros(len(sample.buckets)), "first": np.array(0.0), "gaps": np.zeros(max(0, grades - 2))}
-    row = np.repeat(np.arange(n), np.diff(np.concatenate((sample.starts, [len(sample.terms)]))))
-    grade_of = sample.labels.astype(int)
     adam = Adam(rate)
-    at = np.arange(n)
-    for _ in range(steps):
-        tails = _tails(model, row_sums(model["weights"][sample.terms], sample.starts))
-        # Chance of the row's own grade: the tail from it on less the tail from the next one on.
-        padded = np.concatenate((np.ones((n, 1)), tails, np.zeros((n, 1))), axis=1)
-        slope = padded * (1 - padded)
-        chance = np.maximum(padded[at, grade_of] - padded[at, grade_of + 1], 1e-9)
-        own, following = slope[at, grade_of] / chance / n, slope[at, grade_of + 1] / chance / n
-        to_sum = following - own
-        to_threshold = np.zeros(grades + 1)
-        np.add.at(to_threshold, grade_of, own)
-        np.add.at(to_threshold, grade_of + 1, -following)
-        by_threshold = to_threshold[1:grades]
-        after = np.cumsum(by_threshold[::-1])[::-1]
-        adam.step(
-            model,
-            {
-                "weights": np.bincount(sample.terms, to_sum[row], len(sample.buckets)) + shrink * model["weights"],
-                "first": by_threshold.sum(),
-                "gaps": after[1:] * np.exp(model["gaps"]),
-            },
-        )
+    for part in rounds(sample, seed):
+        slopes = gradients(model, part, grades)
+        slopes["weights"] = slopes["weights"] + shrink * model["weights"]
+        adam.step(model, slopes)
     return model
 
 
+def gradients(model: dict, sample: Sample, grades: int) -> dict[str, np.ndarray]:
+    """Slopes of the mean log loss of the sample."""
+    n = len(sample.labels)
+    row = np.repeat(np.arange(n), np.diff(np.concatenate((sample.starts, [len(sample.terms)]))))
+    grade_of, at = sample.labels.astype(int), np.arange(n)
+    tails = _tails(model, row_sums(model["weights"][sample.terms], sample.starts))
+    # Chance of the row's own grade: the tail from it on less the tail from the next one on.
+    padded = np.concatenate((np.ones((n, 1)), tails, np.zeros((n, 1))), axis=1)
+    slope = padded * (1 - padded)
+    chance = np.maximum(padded[at, grade_of] - padded[at, grade_of + 1], 1e-9)
+    own, following = slope[at, grade_of] / chance / n, slope[at, grade_of + 1] / chance / n
+    to_sum = following - own
+    to_threshold = np.zeros(grades + 1)
+    np.add.at(to_threshold, grade_of, own)
+    np.add.at(to_threshold, grade_of + 1, -following)
+    by_threshold = to_threshold[1:grades]
+    after = np.cumsum(by_threshold[::-1])[::-1]
+    return {
+        "weights": np.bincount(sample.terms, to_sum[row], len(sample.buckets)),
+        "first": by_threshold.sum(),
+        "gaps": after[1:] * np.exp(model["gaps"]),
+    }
+
+
 def _tails(model: dict, sums: np.ndarray) -> np.ndarray:
     thresholds = model["first"] + np.concatenate(([0.0], np.cumsum(np.exp(model["gaps"]))))
     return 1 / (1 + np.exp(-np.clip(sums[:, None] - thresholds[None, :], -30, 30)))
@@ -136,7 +139,6 @@ def score_quality(
     good_grade: int = GOOD_GRADE,
     tail: float = TAIL,
     fit_rows: int = FIT_ROWS,
-    terms: int = TERMS,
 ) -> DataFrame:
     """Per input row: doc_id, held_out, expected_grade, tail_probability (of ``good_grade`` or more) and kept.
 
@@ -155,7 +157,7 @@ def score_quality(
         model = {"weights": np.zeros(0), "first": np.array(0.0), "gaps": np.zeros(grades - 2)}
         buckets = np.zeros(0, np.int64)
     else:
-        sample = sample_terms(rows, chosen, with_terms, terms, fit_rows)
+        sample = sample_terms(rows, chosen, with_terms, fit_rows)
         model, buckets = fit(sample, grades), sample.buckets
     id_type = rows.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("tails", T.ArrayType(T.DoubleType()))])

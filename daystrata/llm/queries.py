@@ -34,7 +34,7 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.score_toxicity(documents(spark, sf_dir), labels).drop("text")
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
