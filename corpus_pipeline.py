@@ -16,7 +16,16 @@ from daystrata.llm.toxicity import without_toxic
 LISTED_ROWS = 200_000
 
 
-def _met(**columns: Column | str) -> Column:
+def _names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Helper column names that no column of ``docs`` has, in either case of letters."""
+    taken = {name.lower() for name in docs.columns}
+    mark = "_"
+    while any(mark + name in taken for name in wanted):
+        mark += "_"
+    return [mark + name for name in wanted]
+
+
+def _met(columns: dict[str, Column | str]) -> Column:
     """Whether columns of a list are the same as columns or expressions of the documents, null as null."""
     result = F.lit(True)
     for listed, own in columns.items():
@@ -24,6 +33,12 @@ def _met(**columns: Column | str) -> Column:
     return result
 
 
+def _order_of(docs: DataFrame) -> Column:
+    """All columns as one value that can be ordered; those that cannot stand as JSON."""
+    plain = lambda f: not any(t in f.dataType.simpleString() for t in ("map<", "variant", "interval"))
+    return F.struct(*[F.col(f"`{f.name}`") if plain(f) else F.to_json(F.struct(f"`{f.name}`")) for f in docs.schema])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not scored as toxic."""
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -34,39 +49,48 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows whose texts and ids are both equal, or both without id, are rare; only those are aggregated with their texts.
     """
+    own_id, sha, row = _names(docs, "id", "sha256", "row")
     repeated = exact_dedup(docs).filter("group_size > 1")
-    repeated = keep(repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"), "kept"))
-    met = _met(_id="doc_id", _sha256=F.sha2(text_of(), 256))
+    repeated = keep(repeated.select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(sha), "kept"))
+    met = _met({own_id: "doc_id", sha: F.sha2(text_of(), 256)})
     rest = docs.join(small(repeated.filter(~F.col("kept")).drop("kept"), LISTED_ROWS), met, "left_anti")
-    tied = keep(repeated.filter("kept").groupBy("_id", "_sha256").count().filter("count > 1").drop("count"))
+    tied = keep(repeated.filter("kept").groupBy(own_id, sha).count().filter("count > 1").drop("count"))
     if tied.isEmpty():
         return rest
     tied = small(tied, LISTED_ROWS)
-    least = rest.join(tied, met).groupBy("_id", "_sha256").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return rest.join(tied, met, "left_anti").unionByName(least.select("row.*"))
+    every = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    least = rest.join(tied, met).groupBy(own_id, sha).agg(F.min_by(every, _order_of(docs)).alias(row))
+    return rest.join(tied, met, "left_anti").unionByName(least.select(f"{row}.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles, directly or over others, the one with the smallest id stays."""
-    copies = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_id"))
-    return docs.join(small(keep(copies), LISTED_ROWS), _met(_id="doc_id"), "left_anti")
+    (own_id,) = _names(docs, "id")
+    copies = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias(own_id))
+    return docs.join(small(keep(copies), LISTED_ROWS), _met({own_id: "doc_id"}), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any item of the benchmark, whether or not the item has an id."""
+    own_id, hashed = _names(docs, "id", "hash")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = find_leaks(docs, benchmark.withColumn("item_id", F.coalesce(F.col("item_id").cast("long"), F.xxhash64("text"))))
-    leaks = leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(small(keep(leaks), LISTED_ROWS), _met(_id="doc_id", _hash=F.xxhash64(text_of())), "left_anti")
+    leaks = leaks.select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(hashed)).distinct()
+    return docs.join(small(keep(leaks), LISTED_ROWS), _met({own_id: "doc_id", hashed: F.xxhash64(text_of())}), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the number of times (mix_copies)."""
-    taken = mix_sources(docs).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("mix_copies"))
-    taken = taken.withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
-    size = F.regexp_count(text_of(), F.lit(WORD)).cast("long")
-    met = _met(_id="doc_id", _source="source", _size=size)
-    return docs.join(small(keep(taken), LISTED_ROWS), met).drop("_id", "_source", "_size")
+    """The documents that the mix takes, with the number of times (mix_copies, in the place of a column of that name).
+
+    Rows are numbered, so that of rows that are equal each is taken as often as the mix says.
+    """
+    number, copies = _names(docs, "number", "copies")
+    numbered = keep(docs.withColumn(number, F.monotonically_increasing_id()))
+    taken = mix_sources(numbered, carry=[number]).filter("copies > 0")
+    (met,) = _names(numbered, "met")
+    taken = small(keep(taken.select(F.col(number).alias(met), F.col("copies").alias(copies))), LISTED_ROWS)
+    found = numbered.join(taken, F.col(number) == F.col(met)).withColumn("mix_copies", F.col(copies))
+    return found.drop(number, met, copies)
 
 
 STAGES = [
