@@ -12,6 +12,8 @@ from daystrata.sources.files import scratch_dir
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Disk that is reserved ahead is some megabytes a state partition, however little it holds.
+FALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 # Digests that are broadcast when texts are compared; more of them are joined by shuffle.
 BROADCAST_DIGESTS = 200_000
 
@@ -33,8 +35,10 @@ def fold_digests(spark: SparkSession, digests: str, checkpoint: str) -> DataFram
         .groupBy("digest")
         .agg(F.max("id").alias("keep_id"), F.max_by("locator", "id").alias("locator"), F.count("*").alias("n"))
     )
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB, FALLOCATE: "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         query = (
             folded.writeStream.format("noop")
@@ -46,10 +50,11 @@ def fold_digests(spark: SparkSession, digests: str, checkpoint: str) -> DataFram
         query.awaitTermination()
         state = spark.read.format("statestore").load(checkpoint)
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     # The value holds what the aggregates keep, in their order: max, max_by as (value, order), count.
     keep_id, locator, _, n = state.schema["value"].dataType.names
     return state.select(
