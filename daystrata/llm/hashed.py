@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daystrata.llm.common import keep, keep_in_batches, small
 
@@ -80,14 +81,33 @@ def sample_terms(rows: DataFrame, chosen: DataFrame, terms_of, fit_rows: int = F
     if pair_rows:
         telling = telling.unionByName(_in_company(_counted(met, "pairs", "pair"), each, mean, var)).distinct()
     telling = keep(telling)
-    met_terms = met.select("doc_id", F.explode("buckets").alias("bucket")).join(F.broadcast(telling), "bucket").toArrow().to_pandas()
-    labels = met.select("doc_id", "label").toArrow().to_pandas().sort_values("doc_id")
     buckets = np.sort(telling.toArrow().column("bucket").to_numpy()).astype(np.int64)
-    row = pd.Index(labels["doc_id"]).get_indexer(met_terms["doc_id"])
-    term = np.searchsorted(buckets, met_terms["bucket"].to_numpy())
+    told = keep_in_batches(_places(met.select("doc_id", "label", "buckets"), buckets))
+    told = told.toArrow().to_pandas().sort_values("doc_id")
+    lengths = told["places"].map(len).to_numpy(np.int64)
+    row = np.repeat(np.arange(len(told)), lengths)
+    term = np.concatenate([np.zeros(0, np.int64), *told["places"]])
     order = np.lexsort((term, row))
-    starts = np.searchsorted(row[order], np.arange(len(labels)))
-    return Sample(buckets, labels["label"].to_numpy(float), term[order].astype(np.int64), starts.astype(np.int64))
+    starts = np.searchsorted(row[order], np.arange(len(told)))
+    return Sample(buckets, told["label"].to_numpy(float), term[order].astype(np.int64), starts.astype(np.int64))
+
+
+def _places(met: DataFrame, buckets: np.ndarray) -> DataFrame:
+    """``met`` with ``places`` instead of ``buckets``: where each row's buckets stand in the sorted ``buckets``, if they do.
+
+    A row stays one row, however many rows share a bucket.
+    """
+    kept = [f for f in met.schema if f.name != "buckets"]
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, np.int64)
+        place[buckets] = np.arange(len(buckets))
+        for batch in in_slices(batches):
+            own = [place[b] for b in batch.column("buckets").to_numpy(zero_copy_only=False)]
+            places = pa.array([b[b >= 0] for b in own], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), places], [*(f.name for f in kept), "places"])
+
+    return met.mapInArrow(found, T.StructType([*kept, T.StructField("places", T.ArrayType(T.LongType()))]))
 
 
 def _counted(met: DataFrame, name: str, alias: str) -> DataFrame:

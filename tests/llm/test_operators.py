@@ -437,6 +437,19 @@ def test_a_pair_is_learnt_whose_terms_say_nothing_alone(spark):
     assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.9
 
 
+def test_telling_terms_stay_one_row_a_document(spark):
+    """Documents that share all of their terms are not multiplied by them; the sample holds each one's terms in order."""
+    rows = [(i, float(i % 2), [5, 9, 40, 77]) for i in range(30)] + [(30, 1.0, []), (31, 0.0, [7, 78]), (32, 1.0, [3, 77])]
+    met = spark.createDataFrame(rows, "doc_id long, label double, buckets array<int>")
+    kept = np.array([3, 9, 77])
+    found = {r["doc_id"]: (r["label"], r["places"]) for r in hashed._places(met, kept).collect()}
+    assert found == {i: (label, [k for k, b in enumerate(kept) if b in own]) for i, label, own in rows}
+    sample = hashed.sample_terms(met, met.select("doc_id"), lambda chosen: chosen)
+    assert list(sample.labels) == [label for _, label, _ in rows]
+    lengths = np.diff([*sample.starts, len(sample.terms)])
+    assert [n > 0 for n in lengths] == [any(b in sample.buckets for b in own) for _, _, own in rows]
+
+
 def _loss_slope(loss, values, at, step=1e-5):
     flat = values.reshape(-1)
     before = flat[at]
