@@ -42,9 +42,10 @@ def ingest_new_files(
 ) -> None:
     """Append every file not yet ingested to bronze, exactly once, and stop.
 
-    Bronze is partitioned by user bucket, so that a later refresh reads only the buckets that it needs.
+    Bronze is partitioned by user bucket, so that a later refresh reads only the buckets that it needs. Rows are
+    rebalanced on the bucket first, so that a batch gives each bucket few files instead of one from every task.
     """
-    rows = stamp(csv_stream(spark, raw_dir, multiline, max_files)).withColumn(BUCKET, user_bucket(buckets))
+    rows = stamp(csv_stream(spark, raw_dir, multiline, max_files)).withColumn(BUCKET, user_bucket(buckets)).hint("rebalance", BUCKET)
     writer = rows.writeStream.format("parquet").partitionBy(BUCKET).option("checkpointLocation", str(checkpoint))
     writer.trigger(availableNow=True).start(str(bronze_path)).awaitTermination()
 

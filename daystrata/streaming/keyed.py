@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from daystrata.operators.clean import Rules, clean_rows
 from daystrata.operators.history import HALO, TIE, history, row_hash
 from daystrata.plans.enrich import derived_columns, history_features
 from daystrata.schema import INGEST_TS, NON_NEGATIVE, RANGE_RULES
-from daystrata.sources.files import read_table, scratch_dir, write_table
+from daystrata.sources.files import read_table, stored, write_table
 from daystrata.streaming.incremental import BATCH, BUCKET, BUCKETS, user_bucket, write_counts
 
 # Kinds of rows that the state hands on: rows of the batch, last rows before it, users whose rows come out of order.
@@ -73,24 +74,39 @@ def superseded_rows(spark: SparkSession, silver_path: str, batch_id: int) -> Dat
 
 
 def _packed(rows: pd.DataFrame, schema: pa.Schema) -> bytes:
+    # Column by column: a user's few rows cost less than the bookkeeping of a whole frame.
+    arrays = [pa.array(rows[field.name].to_numpy(), field.type, from_pandas=True) for field in schema]
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, schema) as writer:
-        writer.write_table(pa.Table.from_pandas(rows, schema, preserve_index=False))
+        writer.write_batch(pa.record_batch(arrays, schema=schema))
     return sink.getvalue().to_pybytes()
 
 
 def _unpacked(raw: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(raw).read_all().to_pandas()
+    return pa.ipc.open_stream(raw).read_all().to_pandas(use_threads=False)
 
 
 def _keys(rows: pd.DataFrame) -> list[tuple]:
-    return list(zip(rows["date"], rows[TIE]))
+    return list(zip(rows["date"].tolist(), rows[TIE].tolist()))
 
 
 def _last(rows: pd.DataFrame, n: int) -> pd.DataFrame:
     """The last ``n`` distinct rows; of copies the one stamped first."""
-    rows = rows.sort_values(["date", TIE, INGEST_TS], kind="stable")
-    return rows.drop_duplicates(["date", TIE]).tail(n)
+    day, tie = rows["date"].to_numpy().astype("datetime64[D]"), rows[TIE].to_numpy()
+    order = np.lexsort((rows[INGEST_TS].to_numpy().astype("datetime64[us]"), tie, day))
+    day, tie = day[order], tie[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (day[1:] != day[:-1]) | (tie[1:] != tie[:-1])
+    return rows.iloc[order[first][-n:]]
+
+
+def _merged(tail: pd.DataFrame | None, last: pd.DataFrame, n: int) -> pd.DataFrame:
+    """The last ``n`` of two frames of last rows; rows that come behind all of ``tail`` need no sorting again."""
+    if tail is None:
+        return last
+    if (tail["date"].iat[-1], tail[TIE].iat[-1]) < (last["date"].iat[0], last[TIE].iat[0]):
+        return last if len(last) >= n else pd.concat([tail.iloc[len(last) - n :], last], ignore_index=True)
+    return _last(pd.concat([tail, last], ignore_index=True), n)
 
 
 def tail_rows(arrow: pa.Schema, reach: int):
@@ -107,12 +123,14 @@ def tail_rows(arrow: pa.Schema, reach: int):
         end = max(known) if known else None
         tail, late, first = before, False, None
         for rows in batches:
-            new = rows[[k not in known for k in _keys(rows)]] if known else rows
+            keys = _keys(rows) if known else []
+            fresh = [k not in known for k in keys]
+            new = rows if all(fresh) else rows[np.array(fresh)]
             if not len(new):
                 continue
             first = new.head(1) if first is None else first
-            late = late or (end is not None and min(_keys(new)) < end)
-            tail = _last(new if tail is None else pd.concat([tail, new], ignore_index=True), reach)
+            late = late or (end is not None and min(k for k, is_fresh in zip(keys, fresh) if is_fresh) < end)
+            tail = _merged(tail, _last(new, reach), reach)
             yield new.assign(**{KIND: NEW})
         if first is None:
             return
@@ -131,20 +149,14 @@ def _arrow_schema(spark: SparkSession, schema: T.StructType) -> pa.Schema:
     return pa.schema([pa.field(f.name, pa.timestamp("us") if pa.types.is_timestamp(f.type) else f.type) for f in fields])
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_batch(rows: DataFrame, silver_path: str, batch_id: int, buckets: int, clamp: float | None = None) -> None:
     """Write what one batch adds to silver. Running a batch again gives the same files' contents.
 
     The batch has partitions of its own, so nothing that was written before is touched.
     """
     spark = rows.sparkSession
-    rows = _kept(rows)
-    late = _kept(rows.filter(F.col(KIND) == LATE).select("user_id", user_bucket(buckets).alias(BUCKET)).distinct())
+    rows = stored(rows)
+    late = stored(rows.filter(F.col(KIND) == LATE).select("user_id", user_bucket(buckets).alias(BUCKET)).distinct())
     columns = [c for c in rows.columns if c not in (KIND, TIE)]
     features = history_features(clamp)
     fresh = rows.filter(F.col(KIND) != LATE).join(late.select("user_id"), "user_id", "left_anti")

@@ -117,3 +117,31 @@ def test_the_state_is_bounded():
     assert kinds(fold((1,), iter([frame(DAYS[60:82])]), state)) == []
     assert kinds(fold((1,), iter([frame(DAYS[3:4] + DAYS[82:83])]), state)) == ["new"] * 2 + ["late"]
     assert keyed._unpacked(state.get[0])["date"].astype(str).tolist() == DAYS[53:83]
+
+
+def test_last_rows_are_merged_in_order():
+    """Rows that come behind, before and among the last ones, with copies, against sorting them all."""
+    day = lambda i: datetime.date.fromisoformat(DAYS[i])
+    early, late = pd.Timestamp("2024-01-01"), pd.Timestamp("2024-01-02")
+    frame = lambda *rows: pd.DataFrame(rows, columns=["date", "_tie", "ingest_ts"])
+    parts = [
+        frame((day(5), 2, late), (day(5), 2, early), (day(4), 9, early), (day(5), -1, early)),
+        frame((day(7), 1, late), (day(6), 3, early)),
+        frame((day(1), 1, early), (day(6), 8, early), (day(7), 1, early)),
+        frame(*[(day(10 + i), i, late) for i in range(5)]),
+    ]
+    for n in (1, 3, 5, 30):
+        tail = None
+        for i, part in enumerate(parts):
+            tail = keyed._merged(tail, keyed._last(part, n), n)
+            every = pd.concat(parts[: i + 1]).sort_values(["date", "_tie", "ingest_ts"]).drop_duplicates(["date", "_tie"]).tail(n)
+            assert tail.values.tolist() == every.values.tolist()
+
+
+def test_a_batch_gives_a_bucket_few_files(spark, tmp_path, paths, write_csv_rows):
+    for part in range(4):
+        write_csv_rows(tmp_path / "raw" / f"{part}.csv", *rows_of(range(1, 12), DAYS[20 * part : 20 * part + 20]))
+    incremental.ingest_new_files(spark, paths["raw"], paths["bronze"], paths["ingest"], BUCKETS)
+    assert read_table(spark, paths["bronze"]).count() == 880
+    # One of each bucket, not one of each bucket from every task.
+    assert len(list(Path(paths["bronze"]).rglob("*.parquet"))) == BUCKETS
