@@ -100,7 +100,8 @@ def _no_change_as_prediction(df: DataFrame) -> DataFrame:
 
 
 def _merge(df: DataFrame, keys: Sequence[str] = ("user_id", "date_key"), group_rows: int | None = None) -> DataFrame:
-    """Three partial projections of the fact, put together again by key."""
+    """Three partial projections of the fact, put together again by key; the fact is made once for all of them."""
+    df = files.stored(df.select(*keys, "stress_level", "sleep_hours", "sleep_quality", "weight_change_30d"))
     return star.merge_outer(
         df.filter(F.col("stress_level") >= 4).select(*keys, "stress_level"),
         df.filter(F.col("sleep_hours") >= 8).select(*keys, "sleep_quality"),
@@ -112,14 +113,14 @@ def _merge(df: DataFrame, keys: Sequence[str] = ("user_id", "date_key"), group_r
 
 def _label_index(df: DataFrame) -> DataFrame:
     """Index of every stress label, turned back into its name."""
-    labeled = models.with_targets(models.prepare_ml(df)).select("stress_change_label")
+    labeled = files.stored(models.with_targets(models.prepare_ml(df)).select("stress_change_label"))
     model = models.label_indexer("stress_change_label", "label_idx").fit(labeled)
     named = models.label_names("label_idx", "label", model.labels).transform(model.transform(labeled))
     return named.groupBy("stress_change_label", "label", "label_idx").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _category_index(df: DataFrame) -> DataFrame:
-    df = models.known_categories(df)
+    df = files.stored(models.known_categories(df).select(*models.CATEGORIES))
     indexed = models.category_indexers().fit(df).transform(df)
     return indexed.groupBy("gender", "gender_idx", "activity_level", "activity_level_idx").agg(
         F.count(F.lit(1)).alias("rows")
@@ -128,7 +129,7 @@ def _category_index(df: DataFrame) -> DataFrame:
 
 def _feature_vector(df: DataFrame) -> DataFrame:
     """Length and total of the stress features of every row."""
-    rows = models.known_categories(models.prepare_ml(df))
+    rows = files.stored(models.known_categories(models.prepare_ml(df)))
     rows = models.category_indexers().fit(rows).transform(rows)
     total = F.aggregate("values", F.lit(0.0), lambda total, value: total + value)
     shown = models.assembler(models.STRESS_FEATURES, "features").transform(rows).select(
@@ -184,7 +185,7 @@ def _bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bronze_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log in two sets of files whose headers differ in order, read as one."""
     folder = files.scratch_dir(spark)
-    raw = raw_log(spark, sf_dir)
+    raw = files.stored(raw_log(spark, sf_dir))
     even = F.col("steps") % 2 == 0
     files.write_csv(raw.filter(even), f"{folder}/raw/as-is")
     files.write_csv(raw.filter(~even).select(*reversed(raw.columns)), f"{folder}/raw/reversed")
@@ -219,7 +220,7 @@ def _clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_frames(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Two arrivals of CSV files, each ingested when it lands and followed by a refresh of silver."""
     folder = files.scratch_dir(spark)
-    raw = raw_log(spark, sf_dir)
+    raw = files.stored(raw_log(spark, sf_dir))
     arrival = F.col("age") % 2
     for part in (0, 1):
         files.write_csv(raw.filter(arrival == part), f"{folder}/raw/arrival-{part}")
@@ -241,7 +242,7 @@ def _stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Three arrivals in the order of days, but for a fifth of the users, whose first days come last; (silver, gold)."""
     folder = files.scratch_dir(spark)
-    raw = raw_log(spark, sf_dir)
+    raw = files.stored(raw_log(spark, sf_dir))
     late = (F.col("user_id") % 5 == 1) & (F.col("date") < "1995-10-01")
     arrival = F.when(late, 2).when(F.col("date") < "1997-04-01", 0).when(F.col("date") < "1999-07-01", 1).otherwise(2)
     silver, gold_path = f"{folder}/silver", f"{folder}/gold"
@@ -261,7 +262,7 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def _header_stream(spark: SparkSession, sf_dir: str) -> str:
     """Files of two orders of columns land in one folder, two at a time; the folder of bronze and of its counts."""
     folder = files.scratch_dir(spark)
-    raw = raw_log(spark, sf_dir)
+    raw = files.stored(raw_log(spark, sf_dir))
     for part in (0, 1):
         shown = raw.filter(F.col("age") % 2 == part)
         turned = shown.select(*reversed(shown.columns))
@@ -381,7 +382,7 @@ def all_queries() -> dict[str, Query]:
         ),
         # layers
         "silver": _on(silver_frame, _shown),
-        "silver_split": lambda s, d: _shown(build_silver(raw_log(s, d), group_rows=100)),
+        "silver_split": lambda s, d: _shown(build_silver(files.stored(raw_log(s, d)), group_rows=100)),
         "dim_user": _on(silver_frame, star.build_dim_user),
         "dim_date": _on(silver_frame, star.build_dim_date),
         "dim_activity": _on(silver_frame, star.build_dim_activity),

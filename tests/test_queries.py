@@ -30,3 +30,10 @@ def test_query(spark, db, sf_dir, name):
 
 def test_entry(spark):
     assert registered.entry(spark).count() == 2281
+
+
+@pytest.mark.parametrize("name", ["label_index", "category_index", "feature_vector", "silver_split", "merge_outer", "merge_outer_split"])
+def test_a_frame_read_again_is_not_made_again(spark, sf_dir, name):
+    """What several passes read is stored once, so the result no longer reads the line items."""
+    files = all_queries()[name](spark, sf_dir).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
