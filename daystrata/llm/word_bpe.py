@@ -89,6 +89,8 @@ class WordBpe:
         order = np.argsort(codes)
         self.codes, self.ranks = codes[order], order
         self.results = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
+        # Ranks of pairs of bytes, by whether the right one ends its piece.
+        self.first = np.stack([self.rank_of(self.inner[:, None], right[None, :]) for right in (self.inner, self.last)])
         self.lexicon, self.cache = lexicon, cache
         self.forget()
 
@@ -102,73 +104,73 @@ class WordBpe:
 
     def pieces(self, word: bytes) -> list[bytes | int]:
         """The pieces of one word as bytes, special strings as their ids."""
-        if word.isalpha():
-            return [word.translate(LOWER)]
+        if b"<|" not in word and word not in self.special:
+            return self.plain_pieces(word)
         parts = self.specials.split(word) if self.specials and b"<|" in word else [word]
         found: list[bytes | int] = []
         for part in parts:
-            if part in self.special:
-                found.append(self.special[part])
-            elif part.isascii():
-                found.extend(ASCII_PIECES.findall(part.translate(LOWER)))
-            else:
-                letters = part.decode("utf-8", "surrogatepass")
-                if LATIN.fullmatch(letters):
-                    found.extend(p.encode() for p in LATIN_PIECES.findall(letters.lower()))
-                    continue
-                cut = self.cut(self.normal(letters))
-                found.extend(bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in cut)
+            found.extend([self.special[part]] if part in self.special else self.plain_pieces(part))
         return found
 
+    def plain_pieces(self, part: bytes) -> list[bytes]:
+        """The pieces of a word, or of a part of one, without special strings."""
+        if part.isascii():
+            return ASCII_PIECES.findall(part.translate(LOWER))
+        letters = part.decode("utf-8", "surrogatepass")
+        if LATIN.fullmatch(letters):
+            return [p.encode() for p in LATIN_PIECES.findall(letters.lower())]
+        cut = self.cut(self.normal(letters))
+        return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in cut]
+
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids; pairs that do not merge rank behind all others."""
         code = left * self.size + right
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         return np.where(self.codes[at] == code, self.ranks[at], len(self.codes))
 
-    def merged(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of pieces, all merged together: each round merges the first best pair of every piece."""
-        result: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
-        short = []
-        for i, piece in enumerate(pieces):
-            if len(piece) > WORD_BYTES:
-                result[i] = self.merged_alone(piece)
-            else:
-                short.append(i)
-        if not short:
-            return result
-        lengths = np.array([len(pieces[i]) for i in short])
-        raw = np.frombuffer(b"".join(pieces[i] for i in short), np.uint8)
-        ids = self.inner[raw]
-        ends = np.cumsum(lengths) - 1
-        ids[ends] = self.last[raw[ends]]
-        owner = np.repeat(np.arange(len(short)), lengths)
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of pieces, all merged together: each round merges the first best pair of every piece.
+
+        A round changes the ranks of the pairs beside a merged id only; all others are kept from round to round.
+        """
         nothing = len(self.codes)
-        while len(ids):
-            rank = np.full(len(ids), nothing, np.int64)
-            if len(ids) > 1:
-                rank[:-1] = np.where(owner[1:] == owner[:-1], self.rank_of(ids[:-1], ids[1:]), nothing)
-            starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            best = np.minimum.reduceat(rank, starts)
-            sizes = np.diff(np.concatenate((starts, [len(ids)])))
-            over = best == nothing
-            if over.any():
-                for at, size, who in zip(starts[over], sizes[over], owner[starts[over]]):
-                    result[short[who]] = ids[at : at + size].copy()
-                left = np.repeat(~over, sizes)
-                ids, owner, rank = ids[left], owner[left], rank[left]
-                starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(ids) else starts[:0]
-                sizes = np.diff(np.concatenate((starts, [len(ids)])))
-                best = best[~over]
-            if not len(ids):
-                break
-            is_best = np.flatnonzero(rank == np.repeat(best, sizes))
-            first = is_best[np.concatenate(([True], owner[is_best][1:] != owner[is_best][:-1]))]
-            ids[first] = self.results[rank[first]]
-            left = np.ones(len(ids), bool)
-            left[first + 1] = False
-            ids, owner = ids[left], owner[left]
-        return result
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        alone = np.flatnonzero(sizes > WORD_BYTES)
+        long = [self.merged_alone(pieces[i]) for i in alone.tolist()]
+        who = np.flatnonzero(sizes <= WORD_BYTES)
+        sizes = sizes[who]
+        raw = np.frombuffer(b"".join([p for p in pieces if len(p) <= WORD_BYTES] if long else pieces), np.uint8)
+        ends = np.cumsum(sizes) - 1
+        is_last = np.zeros(len(raw), np.int64)
+        is_last[ends] = 1
+        ids = np.where(is_last, self.last[raw], self.inner[raw])
+        rank = np.full(len(raw), nothing, np.int64)
+        rank[:-1] = self.first[is_last[1:], raw[:-1], raw[1:]]
+        rank[ends] = nothing
+        ended = [(alone, np.fromiter(map(len, long), np.int64, len(long)), *long)]
+        while len(who):
+            # The least of rank and place is the first best pair.
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), ends - sizes + 1)
+            over = best >= nothing << 32
+            out = np.repeat(over, sizes)
+            ended.append((who[over], sizes[over], ids[out]))
+            gone = np.cumsum(np.where(over, sizes, 0))[~over]
+            who, sizes, best = who[~over], sizes[~over] - 1, best[~over]
+            at = best & 0xFFFFFFFF
+            ids[at] = self.results[best >> 32]
+            out[at + 1] = True
+            ids, rank = ids[~out], rank[~out]
+            # Where the merged ids stand now, and the pairs that they begin or end.
+            at = at - gone - np.arange(len(at))
+            ends = np.cumsum(sizes) - 1
+            rank[at] = nothing
+            pairs = np.concatenate((at[at < ends], at[at > ends - sizes + 1] - 1))
+            rank[pairs] = self.rank_of(ids[pairs], ids[pairs + 1])
+        owner, lengths = (np.concatenate([e[i] for e in ended]) for i in range(2))
+        flat = np.concatenate([np.zeros(0, np.int64), *chain.from_iterable(e[2:] for e in ended)])
+        order = np.argsort(owner)
+        begin = np.cumsum(lengths) - lengths
+        return flat[spread(begin[order], lengths[order])], lengths[order]
 
     def merged_alone(self, piece: bytes) -> np.ndarray:
         """The ids of one long piece: a heap of pairs by rank and place, over a linked list."""
@@ -212,14 +214,17 @@ class WordBpe:
         else:
             known, ids, counts = self.lexicon.look_up(words)
         unseen = np.flatnonzero(~known)
-        cut = [self.pieces(words[i]) for i in unseen.tolist()]
+        cut = [[w.translate(LOWER)] if w.isalpha() else self.pieces(w) for w in map(words.__getitem__, unseen.tolist())]
         pieces = list(dict.fromkeys(chain.from_iterable(cut)))
         number = {p: i for i, p in enumerate(pieces)}
-        merged = self.merged([p for p in pieces if isinstance(p, bytes)])
-        each = iter(merged)
-        by_piece = [next(each) if isinstance(p, bytes) else np.array([p]) for p in pieces]
-        size = np.fromiter(map(len, by_piece), np.int64, len(by_piece))
-        flat = np.concatenate(by_piece) if by_piece else np.zeros(0, np.int64)
+        is_special = np.fromiter((isinstance(p, int) for p in pieces), bool, len(pieces))
+        merged, counts_of = self.merged([p for p in pieces if isinstance(p, bytes)])
+        size = np.ones(len(pieces), np.int64)
+        size[~is_special] = counts_of
+        flat = np.empty(int(size.sum()), np.int64)
+        held = np.repeat(is_special, size)
+        flat[~held] = merged
+        flat[held] = [p for p in pieces if isinstance(p, int)]
         which = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64)
         owner = np.repeat(np.arange(len(unseen)), np.fromiter(map(len, cut), np.int64, len(cut)))
         lengths[known] = counts

@@ -135,3 +135,24 @@ def test_query_is_that_of_the_library(spark, sf_dir, library):
         ids, text = library(texts[r["doc_id"]])
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_a_round_of_merges_looks_up_only_pairs_beside_a_merged_id(library, monkeypatch):
+    encoder = word_bpe.WordBpe(PATH)
+    words = [f"{a}{b}ing{a}" for a in ("interest", "under", "zq", "x", "re") for b in ("stand", "qqq", "able", "")]
+    pieces = [w.encode() for w in [*words, "a", "y" * 70, "ha" * 20]]
+    asked, rank_of = [], encoder.rank_of
+
+    def counted(left, right):
+        asked.append(left.size)
+        return rank_of(left, right)
+
+    monkeypatch.setattr(encoder, "merged_alone", lambda p: np.array(library(p.decode())[0]))
+    monkeypatch.setattr(encoder, "rank_of", counted)
+    ids, lengths = encoder.merged(pieces)
+    ends = np.cumsum(lengths)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, lengths)] == [library(p.decode())[0] for p in pieces]
+    merges = sum(len(p) - n for p, n in zip(pieces, lengths.tolist()) if len(p) <= word_bpe.WORD_BYTES)
+    assert sum(asked) <= 2 * merges
+    nothing = encoder.merged([])
+    assert len(nothing[0]) == len(nothing[1]) == 0
