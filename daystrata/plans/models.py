@@ -6,13 +6,14 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
+from statistics import median_low
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -69,6 +70,9 @@ FIT_PARTITIONS = 16
 # Rows that classifiers are fitted on at most (about; drawn by a hash of the key). Regressors take all train rows.
 FIT_ROWS = 20_000_000
 
+# What a forest keeps of a train row between its passes, besides 4 bytes a tree and a feature.
+OBJECT_BYTES = 100
+
 
 def prepare_ml(df: DataFrame, drop_no_history: bool = False) -> DataFrame:
     """Model frame of the daily fact.
@@ -195,10 +199,30 @@ def _fitting_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
     return rows.withColumn("_fit", is_train & (split_point(KEYS, DRAW_SEED) < F.lit(round(share * 2**32))))
 
 
+def storage_bytes(spark: SparkSession) -> int:
+    """Memory for stored blocks of all executors, taken as alike; the driver counts only where it is the sole one."""
+    status, sizes = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator(), []
+    while status.hasNext():
+        sizes.append(status.next()._1())
+    return max(1, len(sizes) - 1) * median_low(sizes)
+
+
+def at_a_time(targets: Sequence[Target], train_rows: int, fit_rows: int, room: int, parallelism: int) -> int:
+    """How many forests train together: all, or two if what they keep does not fit ``room`` bytes.
+
+    Forests that do not fit push each other's rows to disk in every pass. One alone would leave cores idle between its
+    passes and in the last wave of each, so there are two even if these do not fit.
+    """
+    kept = (
+        (fit_rows if t.classes else train_rows) * (4 * (t.trees + len(t.features)) + OBJECT_BYTES) for t in targets
+    )
+    return max(1, min(parallelism, len(targets), len(targets) if sum(kept) <= room else 2))
+
+
 def train_models(
     rows: DataFrame,
     targets: Sequence[Target] = TARGETS,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage: StorageLevel = StorageLevel.DISK_ONLY,
     parallelism: int = 3,
     fit_rows: int = FIT_ROWS,
     fit_partitions: int = FIT_PARTITIONS,
@@ -207,9 +231,10 @@ def train_models(
 
     Classifiers are fitted on about ``fit_rows`` of the train rows at most, regressors on all of them.
 
-    The indexed frame, cut down to the columns in use, is kept for the many passes of the forests, in an order that
-    follows from its content alone; lost blocks are recomputed from its source. Up to ``parallelism`` models train at
-    a time: their jobs fill the gaps that the driver work between levels leaves.
+    The indexed frame, cut down to the columns in use, is kept for the forests, in an order that follows from its
+    content alone; lost blocks are recomputed from its source. It is read a few times only and kept on disk, as the
+    memory is for the rows that the forests themselves keep for their passes. Up to ``parallelism`` models train at a
+    time, as far as these rows fit: their jobs fill the gaps that the driver work between levels leaves.
     """
     used = {*KEYS, *CATEGORIES, "split", *(c for t in targets for c in (t.label, *t.features))}
     rows = _fitting_rows(known_categories(rows.select(*[c for c in rows.columns if c in used])), fit_rows)
@@ -231,7 +256,10 @@ def train_models(
         LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
 
     try:
-        with ThreadPool(max(1, min(parallelism, len(targets)))) as pool:
+        # This pass also makes the frame, once, before several models ask for it.
+        sizes = indexed.agg(F.count_if(F.col("split") == "train"), F.count_if("_fit")).first()
+        together = at_a_time(targets, *sizes, storage_bytes(rows.sparkSession), parallelism)
+        with ThreadPool(together) as pool:
             pool.map(inheritable_thread_target(rows.sparkSession)(fit), targets)
     finally:
         indexed.unpersist()

@@ -201,6 +201,36 @@ def test_the_bound_on_rows_is_for_classifiers_only(spark, fact_path):
     assert models.score(rows, models.train_models(rows, stress, fit_rows=60, fit_partitions=3), stress).count() == rows.count()
 
 
+def test_forests_train_together_as_far_as_their_rows_fit(spark, fact_path, monkeypatch):
+    small = tuple(models.Target(**{**t.__dict__, "trees": 2, "depth": 2}) for t in models.TARGETS)
+    rows = models._with_split(models.with_targets(models.prepare_ml(spark.read.parquet(fact_path))), 0.8, 42, None)
+    assert models.storage_bytes(spark) > 2**20
+    sizes, pool = [], models.ThreadPool
+    monkeypatch.setattr(models, "ThreadPool", lambda n: sizes.append(n) or pool(n))
+    scored = []
+    for room in (2**40, 1):
+        monkeypatch.setattr(models, "storage_bytes", lambda _, room=room: room)
+        scored.append(models.score(rows, models.train_models(rows, small), small, with_split=True))
+    assert sizes == [3, 2]
+    assert scored[0].exceptAll(scored[1]).isEmpty() and scored[1].exceptAll(scored[0]).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "train_rows, fit_rows, room, parallelism, expected",
+    [
+        # Bytes a row: 476 for stress, 404 for sleep, 448 for weight.
+        (1000, 1000, 1_328_000, 3, 3),
+        (1000, 1000, 1_327_999, 3, 2),
+        (1000, 10, 456_800, 3, 3),
+        (1000, 10, 1, 1, 1),
+        (0, 0, 0, 3, 3),
+    ],
+)
+def test_forests_at_a_time(train_rows, fit_rows, room, parallelism, expected):
+    assert models.at_a_time(models.TARGETS, train_rows, fit_rows, room, parallelism) == expected
+    assert models.at_a_time(models.TARGETS[:1], train_rows, fit_rows, room, parallelism) == 1
+
+
 def test_many_categories_train(spark, make_log):
     """Dirty categories share one bucket, so there are never too many of them for a tree."""
     rows = [r | {"gender": f"g{i}"} for i, r in enumerate(month_of_rows(1, 80))] + list(month_of_rows(2, 5))
