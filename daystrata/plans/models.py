@@ -60,16 +60,13 @@ WEIGHT_FEATURES = (
 CATEGORIES = {"gender": ("F", "M"), "activity_level": ("sedentary", "light", "moderate", "active")}
 
 KEYS = ("user_id", "date_key")
-# Of the hash that draws the rows to fit on; another one than that of the split.
+# Of the hash that draws the rows to fit on where a caller bounds them; another one than that of the split.
 DRAW_SEED = 7
 
 # Forests are fitted on so many partitions, dealt by key and sorted within: bags are drawn by partition and place, so
 # only then does the same data give the same trees. A larger cluster may ask for more; that number is part of the result.
 FIT_PARTITIONS = 16
 
-# Rows that classifiers are fitted on at most (about; drawn by a hash of the key). Regressors take all train rows.
-FIT_ROWS = 20_000_000
-
 # What a forest keeps of a train row between its passes, besides 4 bytes a tree and a feature.
 OBJECT_BYTES = 100
 
@@ -191,9 +188,11 @@ def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | No
     return hash_split(df, KEYS, train, seed)
 
 
-def _fitting_rows(rows: DataFrame, fit_rows: int) -> DataFrame:
-    """``rows`` with ``_fit``: train rows for the classifiers, no more than ``fit_rows`` of them (about)."""
+def _fitting_rows(rows: DataFrame, fit_rows: int | None = None) -> DataFrame:
+    """``rows`` with ``_fit``: train rows for the classifiers; all, or with ``fit_rows`` about so many of them at most."""
     is_train = F.col("split") == "train"
+    if fit_rows is None:
+        return rows.withColumn("_fit", is_train)
     n = rows.filter(is_train).count()
     share = min(1.0, fit_rows / max(1, n))
     return rows.withColumn("_fit", is_train & (split_point(KEYS, DRAW_SEED) < F.lit(round(share * 2**32))))
@@ -224,12 +223,12 @@ def train_models(
     targets: Sequence[Target] = TARGETS,
     storage: StorageLevel = StorageLevel.DISK_ONLY,
     parallelism: int = 3,
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
     fit_partitions: int = FIT_PARTITIONS,
 ) -> Trained:
     """Fit all targets on "train" rows of a model frame with targets and ``split``, and measure on the rest.
 
-    Classifiers are fitted on about ``fit_rows`` of the train rows at most, regressors on all of them.
+    All forests are fitted on all train rows; a caller's ``fit_rows`` bounds those of the classifiers (about).
 
     The indexed frame, cut down to the columns in use, is kept for the forests, in an order that follows from its
     content alone; lost blocks are recomputed from its source. It is read a few times only and kept on disk, as the
@@ -293,7 +292,7 @@ def train_and_score(
     drop_no_history: bool = False,
     with_split: bool = False,
     targets: Sequence[Target] = TARGETS,
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
     fit_partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """Train on part of the daily fact and predict for all of it.

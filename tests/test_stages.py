@@ -201,6 +201,18 @@ def test_the_bound_on_rows_is_for_classifiers_only(spark, fact_path):
     assert models.score(rows, models.train_models(rows, stress, fit_rows=60, fit_partitions=3), stress).count() == rows.count()
 
 
+def test_forests_take_all_train_rows(spark, fact_path, monkeypatch):
+    """Unless a caller asks for it there is no bound, however many rows there are."""
+    rows = models._with_split(models.with_targets(models.prepare_ml(spark.read.parquet(fact_path))), 0.8, 42, None)
+    bounds, marked = [], models._fitting_rows
+    monkeypatch.setattr(models, "_fitting_rows", lambda df, n: bounds.append(n) or marked(df, n))
+    stress = (models.Target(**{**models.TARGETS[0].__dict__, "trees": 2, "depth": 2}),)
+    models.train_models(rows, stress)
+    models.train_and_score(spark.read.parquet(fact_path), targets=stress)
+    assert bounds == [None, None]
+    assert marked(rows).filter("_fit is distinct from (split = 'train')").isEmpty()
+
+
 def test_forests_train_together_as_far_as_their_rows_fit(spark, fact_path, monkeypatch):
     small = tuple(models.Target(**{**t.__dict__, "trees": 2, "depth": 2}) for t in models.TARGETS)
     rows = models._with_split(models.with_targets(models.prepare_ml(spark.read.parquet(fact_path))), 0.8, 42, None)
