@@ -20,6 +20,7 @@ from pyspark.storagelevel import StorageLevel
 from daystrata.functions.scalar import change_label
 from daystrata.operators.clean import drop_missing, fill_zero
 from daystrata.operators.evaluate import classification_metrics, date_split, hash_split, regression_metrics, split_point
+from daystrata.plans import forests
 from daystrata.sources.files import scratch_dir
 
 LOGGER = logging.getLogger(__name__)
@@ -67,8 +68,10 @@ DRAW_SEED = 7
 # only then does the same data give the same trees. A larger cluster may ask for more; that number is part of the result.
 FIT_PARTITIONS = 16
 
-# What a forest keeps of a train row between its passes, besides 4 bytes a tree and a feature.
+# What Spark's own forests keep of a train row between their passes, besides 4 bytes a tree and a feature,
+# and how many rows of ours (``forests.packed``) fit the room of one of theirs at least.
 OBJECT_BYTES = 100
+PACKED_ROWS = 4
 
 
 def prepare_ml(df: DataFrame, drop_no_history: bool = False) -> DataFrame:
@@ -167,7 +170,8 @@ def assembler(features: Sequence[str], out: str) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out)
 
 
-def _stages(target: Target, labels: list[str] | None) -> Pipeline:
+def _fitted(target: Target, rows: DataFrame, labels: list[str] | None, storage: StorageLevel) -> PipelineModel:
+    """Feature vector, forest grown on ``rows`` and names of the predicted labels."""
     vector = f"_{target.name}_features"
     common = dict(
         labelCol=target.index, featuresCol=vector, predictionCol=target.raw,
@@ -175,11 +179,12 @@ def _stages(target: Target, labels: list[str] | None) -> Pipeline:
     )
     features = assembler(target.features, vector)
     if not target.classes:
-        return Pipeline(stages=[features, RandomForestRegressor(**common)])
+        return PipelineModel([features, forests.fit(RandomForestRegressor(**common), features.transform(rows), 0, storage)])
     forest = RandomForestClassifier(
         **common, rawPredictionCol=f"_{target.name}_votes", probabilityCol=f"_{target.name}_probability"
     )
-    return Pipeline(stages=[features, forest, label_names(target.raw, target.predicted, labels)])
+    grown = forests.fit(forest, features.transform(rows), len(labels), storage)
+    return PipelineModel([features, grown, label_names(target.raw, target.predicted, labels)])
 
 
 def _with_split(df: DataFrame, train: float, seed: int, first_test_key: int | None) -> DataFrame:
@@ -207,9 +212,9 @@ def storage_bytes(spark: SparkSession) -> int:
 
 
 def at_a_time(targets: Sequence[Target], train_rows: int, fit_rows: int, room: int, parallelism: int) -> int:
-    """How many forests train together: all, or two if what they keep does not fit ``room`` bytes.
+    """How many forests train together: all, or two if what they keep, as objects, does not fit ``room`` bytes.
 
-    Forests that do not fit push each other's rows to disk in every pass. One alone would leave cores idle between its
+    Forests that do not fit push each other's rows out of memory in every pass. One alone would leave cores idle between its
     passes and in the last wave of each, so there are two even if these do not fit.
     """
     kept = (
@@ -247,9 +252,8 @@ def train_models(
             label_model = label_indexer(target.label, target.index).fit(indexed)
             labels = label_model.labels
             frame = label_model.transform(indexed)
-        # The copy leaves out the training summary, which would drag its frame and session into every task.
         fitting = F.col("_fit") if target.classes else F.col("split") == "train"
-        model = _stages(target, labels).fit(frame.filter(fitting)).copy()
+        model = _fitted(target, frame.filter(fitting), labels, storage)
         trained.models[target.name] = model
         trained.metrics[target.name] = _measure(model.transform(frame.filter(F.col("split") == "test")), target)
         LOGGER.info("%s model: %s", target.name, trained.metrics[target.name])
@@ -257,7 +261,7 @@ def train_models(
     try:
         # This pass also makes the frame, once, before several models ask for it.
         sizes = indexed.agg(F.count_if(F.col("split") == "train"), F.count_if("_fit")).first()
-        together = at_a_time(targets, *sizes, storage_bytes(rows.sparkSession), parallelism)
+        together = at_a_time(targets, *sizes, PACKED_ROWS * storage_bytes(rows.sparkSession), parallelism)
         with ThreadPool(together) as pool:
             pool.map(inheritable_thread_target(rows.sparkSession)(fit), targets)
     finally:
