@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
+from pyspark.ml import Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -287,6 +288,15 @@ def bag_counts(spark: SparkSession, trees: int, seed: int, partitions: int) -> C
     return Column(jvm.org.apache.spark.sql.classic.ExpressionUtils.column(array))
 
 
+def binned(shape: Shape, values: np.ndarray) -> np.ndarray:
+    """The bin of every value, a row a line and a feature a column."""
+    bins = np.empty(values.shape, np.uint8)
+    for f in range(shape.features):
+        column = values[:, f]
+        bins[:, f] = column if f in shape.arity else np.searchsorted(shape.thresholds[f], column)
+    return bins
+
+
 def packed(rows: DataFrame, shape: Shape, label: str, vector: str, trees: int, seed: int) -> DataFrame:
     """Blocks of ``rows``: the bin of every feature, the label, and how often each tree takes the row."""
 
@@ -300,10 +310,7 @@ def packed(rows: DataFrame, shape: Shape, label: str, vector: str, trees: int, s
             target = labels.to_numpy(zero_copy_only=False)
             if labels.null_count or not np.isfinite(values).all() or np.isnan(target).any():
                 raise ValueError("labels and features must not be null, NaN or infinite")
-            bins = np.empty((n, shape.features), np.uint8)
-            for f in range(shape.features):
-                column = values[:, f]
-                bins[:, f] = column if f in shape.arity else np.searchsorted(shape.thresholds[f], column)
+            bins = binned(shape, values)
             counts = bags.flatten().to_numpy().astype(np.uint8).reshape(n, trees).T
             yield pa.RecordBatch.from_arrays(
                 [
@@ -337,6 +344,22 @@ class Growing:
         return max(self.nodes).bit_length() - 1
 
 
+def ways_of(inner: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The node that a row goes on to, by node and bin; nodes that are not split keep their rows."""
+    ids = np.arange(len(inner))[:, None]
+    return np.where(inner[:, None], 2 * ids + ~left, ids).astype(np.int64).ravel()
+
+
+def _walked(node: np.ndarray, steps: int, feature: np.ndarray, ways: np.ndarray, bins: np.ndarray, starts: np.ndarray, width: int):
+    """The nodes that rows reach from ``node``; ``starts`` has the places of their first bins."""
+    for _ in range(steps):
+        way = bins.take(starts + feature.take(node))
+        node = node * width
+        node += way
+        node = ways.take(node)
+    return node
+
+
 def _sums_of(shape: Shape, growing: dict[int, Growing]):
     """Function for ``mapInArrow``: sums of the blocks of a partition by tree, node, feature tried, bin and class."""
 
@@ -346,8 +369,7 @@ def _sums_of(shape: Shape, growing: dict[int, Growing]):
         ways, places, columns, sums = {}, {}, {}, {}
         cells = tries * width * (shape.classes or 1)
         for t, g in growing.items():
-            ids = np.arange(len(g.inner))[:, None]
-            ways[t] = np.where(g.inner[:, None], 2 * ids + ~g.left, ids).astype(np.int64).ravel()
+            ways[t] = ways_of(g.inner, g.left)
             places[t] = np.full(len(g.inner), -1, np.int64)
             places[t][g.nodes] = np.arange(len(g.nodes))
             columns[t] = np.ascontiguousarray(g.tried.T.astype(np.int64))
@@ -356,19 +378,14 @@ def _sums_of(shape: Shape, growing: dict[int, Growing]):
         for batch in batches:
             for n, bins, labels, bags in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 any_row = True
-                bins = np.frombuffer(bins, np.uint8).astype(np.int64)
+                bins = np.frombuffer(bins, np.uint8)
                 labels = np.frombuffer(labels, np.float64)
                 bags = np.frombuffer(bags, np.uint8).reshape(-1, n)
-                scaled, classes = bins * (shape.classes or 1), labels.astype(np.int64) if shape.classes else None
+                classes = labels.astype(np.int64) if shape.classes else None
                 for t, g in growing.items():
                     rows = np.flatnonzero(bags[t])
                     starts = rows * features
-                    node = np.ones(len(rows), np.int64)
-                    for _ in range(g.depth):
-                        way = bins.take(starts + g.feature.take(node))
-                        node *= width
-                        way += node
-                        node = ways[t].take(way)
+                    node = _walked(np.ones(len(rows), np.int64), g.depth, g.feature, ways[t], bins, starts, width)
                     place = places[t].take(node)
                     if g.depth and place.min(initial=0) < 0:
                         on = np.flatnonzero(place >= 0)
@@ -385,7 +402,7 @@ def _sums_of(shape: Shape, growing: dict[int, Growing]):
                     for column in columns[t]:
                         at = column.take(place)
                         at += starts
-                        at = scaled.take(at)
+                        at = bins.take(at) * np.int64(shape.classes or 1)
                         at += cell
                         # One after the other, so that sums of fractions are rounded as Spark rounds them.
                         for kind, amount in zip(sums[t], amounts, strict=True):
@@ -566,35 +583,82 @@ def _take(tree: Tree, shape: Shape, row, depth: int) -> list[int]:
     return [child for child, _, impurity in sides if level + 1 < depth and abs(impurity) >= EPSILON]
 
 
-def _node_rows(tree: Tree, shape: Shape) -> list[tuple]:
-    """Nodes in the order of Spark's model files; leaves side by side that predict the same are one."""
-    leaf_split = (-1, [], -1)
+def _pruned(tree: Tree, shape: Shape, node: int = 1) -> bool:
+    """Make leaves side by side that predict the same one leaf, from below; whether ``node`` is a leaf then."""
+    if not tree.inner[node]:
+        return True
+    leaves = [_pruned(tree, shape, child) for child in (2 * node, 2 * node + 1)]
+    if all(leaves) and len({predicted(shape, tree.told[child][2]) for child in (2 * node, 2 * node + 1)}) == 1:
+        tree.inner[node] = False
+        return True
+    return False
 
-    def built(node: int) -> tuple | list:
-        gain, impurity, stats = tree.told[node]
-        value = predicted(shape, stats)
-        if not tree.inner[node]:
-            return [(value, impurity, stats, -1.0, leaf_split)]
-        left, right = built(2 * node), built(2 * node + 1)
-        if len(left) == len(right) == 1 and left[0][0] == right[0][0]:
-            return [(value, impurity, stats, -1.0, leaf_split)]
-        return [(value, impurity, stats, gain, tree.split[node]), left, right]
 
+def _node_rows(tree: Tree, shape: Shape) -> list[tuple]:
+    """Nodes in the order of Spark's model files."""
     rows: list[tuple] = []
 
-    def listed(part: list) -> int:
+    def listed(node: int) -> int:
         own = len(rows)
         rows.append(())
-        value, impurity, stats, gain, split = part[0]
-        children = [listed(child) for child in part[1:]] or [-1, -1]
+        gain, impurity, stats = tree.told[node]
+        children, split = [-1, -1], (-1, [], -1)
+        if tree.inner[node]:
+            children, split = [listed(2 * node), listed(2 * node + 1)], tree.split[node]
+        else:
+            gain = -1.0
         count = int(sum(stats) if shape.classes else stats[0])
-        rows[own] = (own, value, impurity, stats, count, gain, *children, split)
+        rows[own] = (own, predicted(shape, stats), impurity, stats, count, gain, *children, split)
         return own
 
-    listed(built(1))
+    listed(1)
     return rows
 
 
+class PackedForest(Transformer):
+    """A grown forest; adds the prediction that Spark's model of the same trees gives for a vector of features."""
+
+    def __init__(self, forest: RandomForestClassifier | RandomForestRegressor, shape: Shape, trees: list[Tree]) -> None:
+        super().__init__()
+        self.forest, self.shape, self.trees = forest, shape, trees
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        predict = F.arrow_udf(_predictions_of(self.shape, self.trees, self.forest.getMaxDepth()), "double")
+        values = vector_to_array(self.forest.getFeaturesCol())
+        return dataset.withColumn(self.forest.getPredictionCol(), predict(values))
+
+    def spark_model(self, spark: SparkSession) -> RandomForestClassificationModel | RandomForestRegressionModel:
+        """The same trees as a model of Spark, which can be saved and gives votes and probabilities as well."""
+        return _model(self.forest, spark, self.shape, self.trees)
+
+
+def _predictions_of(shape: Shape, trees: list[Tree], depth: int):
+    """Function for ``arrow_udf``: predictions for arrays of features, summed over the trees in their order."""
+    parts = []
+    for tree in trees:
+        values = np.zeros((len(tree.inner), shape.classes or 1))
+        for node, (_, _, stats) in tree.told.items():
+            total = sum(stats) if shape.classes else 1.0
+            if total:
+                values[node] = np.array(stats) / total if shape.classes else predicted(shape, stats)
+        last = max((node for node in tree.split if tree.inner[node]), default=0)
+        parts.append((min(depth, last.bit_length()), tree.feature.astype(np.int16), tree.inner, tree.left, values))
+    ready: list[tuple] = []
+
+    def predict(features: pa.Array) -> pa.Array:
+        if not ready:  # once a task
+            ready.extend((steps, f.astype(np.int64), ways_of(inner, left), v) for steps, f, inner, left, v in parts)
+        n = len(features)
+        bins = binned(shape, features.flatten().to_numpy(zero_copy_only=False).reshape(n, shape.features)).ravel()
+        starts, total = np.arange(n) * shape.features, np.zeros((n, shape.classes or 1))
+        for steps, feature, ways, values in ready:
+            node = _walked(np.ones(n, np.int64), steps, feature, ways, bins, starts, shape.width)
+            total += values.take(node, axis=0)
+        return pa.array(total.argmax(axis=1).astype(np.float64) if shape.classes else total[:, 0] / len(ready))
+
+    return predict
+
+
 def _model(forest: RandomForestClassifier | RandomForestRegressor, spark: SparkSession, shape: Shape, trees: list[Tree]):
     """Spark's model of the trees, by way of its file format."""
     kind = "Classification" if shape.classes else "Regression"
@@ -623,13 +687,13 @@ def _model(forest: RandomForestClassifier | RandomForestRegressor, spark: SparkS
 
 def fit(
     forest: RandomForestClassifier | RandomForestRegressor, rows: DataFrame, classes: int = 0, storage: StorageLevel = StorageLevel.DISK_ONLY
-) -> RandomForestClassificationModel | RandomForestRegressionModel:
-    """The model that ``forest.fit(rows)`` gives, with ``classes`` labels from 0 on, or of a regression.
+) -> PackedForest:
+    """The trees that ``forest.fit(rows)`` grows, with ``classes`` labels from 0 on, or of a regression.
 
     The order of ``rows`` within their partitions is part of the result, as it is there. Trees, depth, bins, seed, least
     rows and least gain of ``forest`` count; bags are drawn with replacement at the full rate, rows have no weights.
     """
-    spark, depth = rows.sparkSession, forest.getMaxDepth()
+    depth = forest.getMaxDepth()
     shape = shape_of(forest, rows, classes)
     trees = [Tree(depth, shape.width) for _ in range(forest.getNumTrees())]
     blocks = packed(rows, shape, forest.getLabelCol(), forest.getFeaturesCol(), len(trees), forest.getSeed()).persist(storage)
@@ -654,4 +718,6 @@ def fit(
                     waiting += [(t, child) for child in _take(trees[t], shape, best[t, node], depth)]
     finally:
         blocks.unpersist()
-    return _model(forest, spark, shape, trees)
+    for tree in trees:
+        _pruned(tree, shape)
+    return PackedForest(forest, shape, trees)

@@ -33,11 +33,15 @@ def rows(spark):
     return assembler.transform(indexer.fit(df).transform(df)).select("id", "features", "label", "half", "value").persist()
 
 
-def assert_same(forest, rows, classes):
-    own, spark_made = forests.fit(forest, rows, classes), forest.fit(rows)
+def assert_same(forest, rows, classes, scored=None):
+    packed, spark_made = forests.fit(forest, rows, classes), forest.fit(rows)
+    own = packed.spark_model(rows.sparkSession)
     assert own.toDebugString.split("\n", 1)[1] == spark_made.toDebugString.split("\n", 1)[1]
     shown = ["prediction", *(["rawPrediction"] if classes else [])]
     assert own.transform(rows).select(shown).collect() == spark_made.transform(rows).select(shown).collect()
+    # Also for rows that were not trained on.
+    scored = rows if scored is None else scored
+    assert packed.transform(scored).select("prediction").collect() == spark_made.transform(scored).select("prediction").collect()
 
 
 @pytest.mark.parametrize("n", [40, 14_000])
@@ -45,7 +49,7 @@ def assert_same(forest, rows, classes):
 def test_trees_are_those_of_spark(rows, n, label, classes):
     """With thresholds of all values and of a sample, categories that are ordered and that are not, leaves of one row."""
     kind = RandomForestClassifier if classes else RandomForestRegressor
-    assert_same(kind(labelCol=label, numTrees=7, maxDepth=5, seed=11), rows.filter(F.col("id") < n), classes)
+    assert_same(kind(labelCol=label, numTrees=7, maxDepth=5, seed=11), rows.filter(F.col("id") < n), classes, rows)
 
 
 def test_little_memory_and_one_tree(rows):
