@@ -34,7 +34,8 @@ def rows(spark):
 
 
 def assert_same(forest, rows, classes, scored=None):
-    packed, spark_made = forests.fit(forest, rows, classes), forest.fit(rows)
+    # The copy leaves out the training summary, which would drag its session into every task.
+    packed, spark_made = forests.fit(forest, rows, classes), forest.fit(rows).copy()
     own = packed.spark_model(rows.sparkSession)
     assert own.toDebugString.split("\n", 1)[1] == spark_made.toDebugString.split("\n", 1)[1]
     shown = ["prediction", *(["rawPrediction"] if classes else [])]
