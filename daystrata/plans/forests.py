@@ -332,22 +332,35 @@ def packed(rows: DataFrame, shape: Shape, label: str, vector: str, trees: int, s
 class Growing:
     """What a pass has to know of one tree: its splits so far, the nodes to split now and the features they try."""
 
-    feature: np.ndarray  # by node
-    left: np.ndarray  # by node and bin: whether a row goes left; nodes without a split keep their rows
-    inner: np.ndarray  # by node: whether it has been split
+    splits: tuple[np.ndarray, np.ndarray, np.ndarray]  # of ``Tree.packed``
     nodes: list[int]
     tried: np.ndarray  # by place of the node in ``nodes``
-    known: list[tuple[list[float], float] | None]  # counts and impurity of the node, where its parent's split told them
 
     @property
     def depth(self) -> int:
         return max(self.nodes).bit_length() - 1
 
 
-def ways_of(inner: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """The node that a row goes on to, by node and bin; nodes that are not split keep their rows."""
+@dataclass
+class Choosing:
+    """What the choice of splits has to know of one tree: nodes, features they try, what their parents' splits told."""
+
+    nodes: list[int]
+    tried: np.ndarray
+    known: tuple[np.ndarray, np.ndarray] | None  # stats and impurities by place; none for the root
+
+
+def unpacked(splits: tuple[np.ndarray, np.ndarray, np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(feature by node, node that a row goes on to by node and bin); nodes that are not split keep their rows."""
+    feature, inner, left = splits
     ids = np.arange(len(inner))[:, None]
-    return np.where(inner[:, None], 2 * ids + ~left, ids).astype(np.int64).ravel()
+    left = np.unpackbits(left, axis=1, count=width).astype(bool)
+    return feature.astype(np.int64), np.where(inner[:, None], 2 * ids + ~left, ids).astype(np.int64).ravel()
+
+
+def _held(value: pa.Scalar, kind: type) -> np.ndarray:
+    """The numbers in a binary value, where they are."""
+    return np.frombuffer(value.as_buffer(), kind)
 
 
 def _walked(node: np.ndarray, steps: int, feature: np.ndarray, ways: np.ndarray, bins: np.ndarray, starts: np.ndarray, width: int):
@@ -366,26 +379,25 @@ def _sums_of(shape: Shape, growing: dict[int, Growing]):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, stats, features = shape.width, shape.stats, shape.features
         tries = next(iter(growing.values())).tried.shape[1]
-        ways, places, columns, sums = {}, {}, {}, {}
+        ways, places, columns, sums = {}, {}, {}, {}  # features and ways, and so on, by tree
         cells = tries * width * (shape.classes or 1)
         for t, g in growing.items():
-            ways[t] = ways_of(g.inner, g.left)
-            places[t] = np.full(len(g.inner), -1, np.int64)
+            ways[t] = unpacked(g.splits, width)
+            places[t] = np.full(len(ways[t][0]), -1, np.int64)
             places[t][g.nodes] = np.arange(len(g.nodes))
             columns[t] = np.ascontiguousarray(g.tried.T.astype(np.int64))
             sums[t] = np.zeros((1 if shape.classes else stats, len(g.nodes) * cells))
         any_row = False
         for batch in batches:
-            for n, bins, labels, bags in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, n in enumerate(batch.column(0).to_pylist()):
                 any_row = True
-                bins = np.frombuffer(bins, np.uint8)
-                labels = np.frombuffer(labels, np.float64)
-                bags = np.frombuffer(bags, np.uint8).reshape(-1, n)
+                bins, labels, bags = (_held(batch.column(c + 1)[i], kind) for c, kind in enumerate((np.uint8, np.float64, np.uint8)))
+                bags = bags.reshape(-1, n)
                 classes = labels.astype(np.int64) if shape.classes else None
                 for t, g in growing.items():
                     rows = np.flatnonzero(bags[t])
                     starts = rows * features
-                    node = _walked(np.ones(len(rows), np.int64), g.depth, g.feature, ways[t], bins, starts, width)
+                    node = _walked(np.ones(len(rows), np.int64), g.depth, *ways[t], bins, starts, width)
                     place = places[t].take(node)
                     if g.depth and place.min(initial=0) < 0:
                         on = np.flatnonzero(place >= 0)
@@ -466,11 +478,11 @@ def _candidates(shape: Shape, f: int, sums: np.ndarray) -> tuple[np.ndarray, np.
     return upto[:-1], upto[-1] - upto[:-1], order
 
 
-def best_split(shape: Shape, sums: np.ndarray, tried: Sequence[int], known: tuple[list[float], float] | None) -> tuple:
+def best_split(shape: Shape, sums: np.ndarray, tried: Sequence[int], known: tuple[np.ndarray, float] | None) -> tuple:
     """(feature, place, left categories, gain, impurity, stats, left, right, their impurities) of the best split."""
     best, parent, impurity = None, None, None
     if known is not None:
-        parent, impurity = np.array(known[0]), known[1]
+        parent, impurity = known
     for f, own in zip(tried, sums, strict=True):
         f = int(f)
         if not shape.splits(f):
@@ -501,27 +513,27 @@ def best_split(shape: Shape, sums: np.ndarray, tried: Sequence[int], known: tupl
     f, at, categories, gain, left, right, l_impurity, r_impurity = best
     if gain == INVALID:
         impurity = float(_impurity(shape, parent))
-    return f, at, categories, gain, impurity, parent.tolist(), left.tolist(), right.tolist(), l_impurity, r_impurity
+    return f, at, categories, gain, float(impurity), parent.tolist(), left.tolist(), right.tolist(), l_impurity, r_impurity
 
 
-def _splits_of(shape: Shape, growing: dict[int, Growing]):
+def _splits_of(shape: Shape, choosing: dict[int, Choosing]):
     """Function for ``applyInArrow``: the sums of all partitions of a tree, in their order, give its best splits."""
 
     def choose(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table["part"].to_pylist(), table["sums"].to_pylist(), strict=True))
         t = table["tree"][0].as_py()
-        g, total = growing[t], None
-        for _, part in rows:
-            part = np.frombuffer(part, np.float64)
+        g, total = choosing[t], None
+        for i in np.argsort(table["part"].to_numpy()).tolist():
+            part = _held(table["sums"][i], np.float64)
             total = part.copy() if total is None else np.add(total, part, out=total)
         tries = g.tried.shape[1]
         if shape.classes:
             total = total.reshape(len(g.nodes), tries, shape.width, shape.classes)
         else:
             total = np.moveaxis(total.reshape(3, len(g.nodes), tries, shape.width), 0, -1)
+        known = [None] * len(g.nodes) if g.known is None else list(zip(*g.known, strict=True))
         found = [
-            (t, node, *best_split(shape, sums, tried, known))
-            for node, sums, tried, known in zip(g.nodes, total, g.tried, g.known, strict=True)
+            (t, node, *best_split(shape, sums, tried, told))
+            for node, sums, tried, told in zip(g.nodes, total, g.tried, known, strict=True)
         ]
         kinds = [pa.int32()] * 4 + [pa.list_(pa.int32())] + [pa.float64()] * 2 + [pa.list_(pa.float64())] * 3 + [pa.float64()] * 2
         names = [field.split()[0] for field in SPLITS.replace(", ", ",").split(",")]
@@ -544,6 +556,11 @@ class Tree:
         # Gain, impurity (-1 if no split was allowed) and stats by node.
         self.told: dict[int, tuple[float, float, list[float]]] = {}
 
+    def packed(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Features, whether nodes are split and a bit a bin, of the nodes down to ``depth``."""
+        size = 2 ** (depth + 1)
+        return self.feature[:size].astype(np.int16), self.inner[:size].copy(), np.packbits(self.left[:size], axis=1)
+
 
 def _next_group(waiting: list[tuple[int, int]], shape: Shape, rng: JavaRandom, room: int) -> dict[int, list[tuple[int, list[int]]]]:
     """Nodes to split in the next pass, by tree: the last ones waiting, as far as their sums fit ``room`` bytes."""
@@ -623,7 +640,7 @@ class PackedForest(Transformer):
         self.forest, self.shape, self.trees = forest, shape, trees
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        predict = F.arrow_udf(_predictions_of(self.shape, self.trees, self.forest.getMaxDepth()), "double")
+        predict = F.arrow_udf(_predictions_of(self.shape, self.trees), "double")
         values = vector_to_array(self.forest.getFeaturesCol())
         return dataset.withColumn(self.forest.getPredictionCol(), predict(values))
 
@@ -632,7 +649,7 @@ class PackedForest(Transformer):
         return _model(self.forest, spark, self.shape, self.trees)
 
 
-def _predictions_of(shape: Shape, trees: list[Tree], depth: int):
+def _predictions_of(shape: Shape, trees: list[Tree]):
     """Function for ``arrow_udf``: predictions for arrays of features, summed over the trees in their order."""
     parts = []
     for tree in trees:
@@ -642,12 +659,14 @@ def _predictions_of(shape: Shape, trees: list[Tree], depth: int):
             if total:
                 values[node] = np.array(stats) / total if shape.classes else predicted(shape, stats)
         last = max((node for node in tree.split if tree.inner[node]), default=0)
-        parts.append((min(depth, last.bit_length()), tree.feature.astype(np.int16), tree.inner, tree.left, values))
+        steps = last.bit_length()
+        splits = tree.packed(steps)
+        parts.append((steps, splits, values[: len(splits[0])]))
     ready: list[tuple] = []
 
     def predict(features: pa.Array) -> pa.Array:
         if not ready:  # once a task
-            ready.extend((steps, f.astype(np.int64), ways_of(inner, left), v) for steps, f, inner, left, v in parts)
+            ready.extend((steps, *unpacked(splits, shape.width), values) for steps, splits, values in parts)
         n = len(features)
         bins = binned(shape, features.flatten().to_numpy(zero_copy_only=False).reshape(n, shape.features)).ravel()
         starts, total = np.arange(n) * shape.features, np.zeros((n, shape.classes or 1))
@@ -702,16 +721,15 @@ def fit(
     try:
         while waiting:
             group = _next_group(waiting, shape, rng, forest.getMaxMemoryInMB() * 2**20)
-            growing = {
-                t: Growing(
-                    trees[t].feature, trees[t].left, trees[t].inner, [node for node, _ in members],
-                    np.array([tried for _, tried in members]),
-                    [None if node == 1 else (trees[t].told[node][2], trees[t].told[node][1]) for node, _ in members],
-                )
-                for t, members in group.items()
-            }
+            growing, choosing = {}, {}
+            for t, members in group.items():
+                nodes, tried = [node for node, _ in members], np.array([tried for _, tried in members], np.int16)
+                told = [trees[t].told[node] for node in nodes if node > 1]
+                known = (np.array([x[2] for x in told]), np.array([x[1] for x in told])) if told else None
+                growing[t] = Growing(trees[t].packed(max(nodes).bit_length() - 1), nodes, tried)
+                choosing[t] = Choosing(nodes, tried, known)
             sums = blocks.mapInArrow(_sums_of(shape, growing), SUMS).repartition(min(parts, len(growing)), "tree")
-            found = sums.groupBy("tree").applyInArrow(_splits_of(shape, growing), SPLITS).collect()  # one row a node
+            found = sums.groupBy("tree").applyInArrow(_splits_of(shape, choosing), SPLITS).collect()  # one row a node
             best = {(row.tree, row.node): row for row in found}
             for t in map_order(group):
                 for node, _ in group[t]:

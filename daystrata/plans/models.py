@@ -214,7 +214,7 @@ def storage_bytes(spark: SparkSession) -> int:
 def at_a_time(targets: Sequence[Target], train_rows: int, fit_rows: int, room: int, parallelism: int) -> int:
     """How many forests train together: all, or two if what they keep, as objects, does not fit ``room`` bytes.
 
-    Forests that do not fit push each other's rows out of memory in every pass. One alone would leave cores idle between its
+    Forests that do not fit would take turns in reading their rows from disk in every pass. One alone would leave cores idle between its
     passes and in the last wave of each, so there are two even if these do not fit.
     """
     kept = (
@@ -236,9 +236,9 @@ def train_models(
     All forests are fitted on all train rows; a caller's ``fit_rows`` bounds those of the classifiers (about).
 
     The indexed frame, cut down to the columns in use, is kept for the forests, in an order that follows from its
-    content alone; lost blocks are recomputed from its source. It is read a few times only and kept on disk, as the
-    memory is for the rows that the forests themselves keep for their passes. Up to ``parallelism`` models train at a
-    time, as far as these rows fit: their jobs fill the gaps that the driver work between levels leaves.
+    content alone; lost blocks are recomputed from its source. It and the rows that the forests pack for their passes
+    are kept on disk. Up to ``parallelism`` models train at a time, as far as their rows would fit memory: their jobs fill
+    the gaps that the driver work between levels leaves.
     """
     used = {*KEYS, *CATEGORIES, "split", *(c for t in targets for c in (t.label, *t.features))}
     rows = _fitting_rows(known_categories(rows.select(*[c for c in rows.columns if c in used])), fit_rows)
